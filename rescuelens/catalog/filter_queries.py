@@ -172,7 +172,7 @@ QUERIES = {
 
 # --- the same in SQL -----------------------------------------------------------------
 
-_ID_KEY = (f"coalesce(nullif({sql.stripped('post_id')}, ''), "
+ID_KEY = (f"coalesce(nullif({sql.stripped('post_id')}, ''), "
            f"{sql.folded(sql.stripped(sql.collapsed('post_text')))})")
 _TAGGED_TEXT = "coalesce(post_text, '') || ' ' || coalesce(hashtags, '')"
 _TAGGED_KEY = sql.folded(sql.stripped(sql.collapsed(f"({_TAGGED_TEXT})")))
@@ -192,7 +192,7 @@ _IN_TIME = f"posted_at >= TIMESTAMP '{START}'"
 _UNTIL = f"posted_at <= TIMESTAMP '{END}'"
 _POSITION = "(coord OR coalesce(regexp_matches(coordinates, '[0-9]'), false))"
 _KEPT_FILES = f"""WITH {sql.signals("event")},
-kept AS ({_first("sig", _ID_KEY, "file, seq", "file", sql.kept("balanced"))}),
+kept AS ({_first("sig", ID_KEY, "file, seq", "file", sql.kept("balanced"))}),
 per_file AS (SELECT a.file, count(b.n) * coalesce(max(b.n), 0) AS kept
     FROM (SELECT DISTINCT file FROM posts) a
     LEFT JOIN (SELECT file, count(*) AS n FROM kept GROUP BY file) b ON a.file = b.file
@@ -219,7 +219,7 @@ ORACLES = {
         coalesce({_IN_TIME} AND {_UNTIL}, false) AS inside, coalesce({_IN_TIME}, false) AS since,
         coalesce({_UNTIL}, false) AS until, true AS open FROM posts""",
     "audit_flags": f"WITH {sql.signals('event')} " + _first(
-        "sig", _ID_KEY, "seq",
+        "sig", ID_KEY, "seq",
         "seq, post_id, sos AS _sos, flood AS _flood, need AS _need, hazard AS _haz",
         sql.kept("balanced")),
     "audit_flags_tagged": f"WITH {_TAGGED_SIG} " + _first(
@@ -227,9 +227,9 @@ ORACLES = {
         f"seq, sos AS _hit_sos, phone AS _hit_phone, {_POSITION} AS _hit_coord, "
         "address AS _hit_addr, location_word AS _hit_locw, first_person AS _first_person",
         f"lower(language) IN ('tr', 'en') AND {_IN_TIME} AND {sql.TAGGED_KEPT}"),
-    "dedup_id_or_text": f"WITH {POSTS_SQL} " + _first("posts", _ID_KEY, "seq", "seq, post_id"),
+    "dedup_id_or_text": f"WITH {POSTS_SQL} " + _first("posts", ID_KEY, "seq", "seq, post_id"),
     "dedup_text": f"WITH {POSTS_SQL} " + _first("posts", _TAGGED_KEY, "seq", "seq"),
-    "incremental_anti": f"WITH {POSTS_SQL}, keyed AS (SELECT *, {_ID_KEY} AS key FROM posts) "
+    "incremental_anti": f"WITH {POSTS_SQL}, keyed AS (SELECT *, {ID_KEY} AS key FROM posts) "
         + _first("keyed", "key", "seq", "seq, post_id", f"file > '{EARLIER}' AND key NOT IN "
                  f"(SELECT key FROM keyed WHERE file <= '{EARLIER}')"),
     "funnel_files": f"{_KEPT_FILES} SELECT file, CAST(kept AS BIGINT) AS kept FROM per_file",

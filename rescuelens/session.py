@@ -21,7 +21,7 @@ def build_session(master: str | None = None, app: str = "rescuelens", **conf) ->
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
-        builder = builder.config(key.replace("_", "."), value)
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

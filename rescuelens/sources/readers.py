@@ -72,7 +72,7 @@ def _not_too_long(line: Column, sep: str, fields: int) -> Column:
 
 
 def _null_cells(c: str) -> Column:
-    return F.when(~F.col(c).isin(*lx.NULL_CELLS), F.col(c)).alias(c)
+    return F.when(~F.col(c).isin("", *lx.NULL_CELLS), F.col(c)).alias(c)
 
 
 def _with_scan_order(df: DataFrame) -> DataFrame:

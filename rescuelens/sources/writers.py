@@ -3,12 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV parts with a header each."""
+def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
+    """CSV parts with a header each; values keep their white space and line breaks."""
+    if encoding != "UTF-8":
+        df.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")
     (df.write.mode("overwrite").option("header", "true").option("escape", '"')
-       .option("emptyValue", "").csv(path))
+       .option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false")
+       .option("ignoreTrailingWhiteSpace", "false").option("encoding", encoding).csv(path))
+
+
+def write_tsv(df: DataFrame, path: str, *folders: str) -> None:
+    """Unquoted TSV parts with a header each, in one folder per value of ``folders``.
+
+    A tab or line break inside a value would break its line, so it becomes a blank.
+    """
+    plain = [F.col(c) if c in folders else F.translate(c, "\t\r\n", "   ").alias(c)
+             for c in df.columns]
+    (df.select(*plain).write.mode("overwrite").partitionBy(*folders)
+       .option("header", "true").option("sep", "\t").option("quote", "\u0000")
+       .option("escapeQuotes", "false").option("emptyValue", "")
+       .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+       .option("extension", "tsv").csv(path))
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
