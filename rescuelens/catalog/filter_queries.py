@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rescuelens import lexicons as lx
 from rescuelens.catalog import sql
-from rescuelens.catalog.relations import POSTS_SQL, posts, table
+from rescuelens.catalog.relations import POSTS_SQL, documents, posts
 from rescuelens.functions import signals as sg
 from rescuelens.functions import text
 from rescuelens.operators import dedup, funnel, masks
@@ -152,7 +152,7 @@ def union_corpora(spark, sf_dir):
 
 
 def fold_text(spark, sf_dir):
-    df = text.evaluate_once(table(spark, sf_dir, "documents"), "f", text.fold("text"))
+    df = text.evaluate_once(documents(spark, sf_dir), "f", text.fold("text"))
     return df.select("doc_id", F.md5("f").alias("digest"), F.length("f").alias("chars"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rescuelens import lexicons as lx
 from rescuelens.catalog import sql
-from rescuelens.catalog.relations import POSTS_SQL, posts, quoted, table
+from rescuelens.catalog.relations import POSTS_SQL, documents, posts, quoted
 from rescuelens.functions import text
 from rescuelens.operators import answers, chat, labels, splits
 
@@ -27,7 +27,7 @@ def norm_text(spark, sf_dir):
 
 
 def cluster_id(spark, sf_dir):
-    return text.with_cluster_id(table(spark, sf_dir, "documents"), "text").select(
+    return text.with_cluster_id(documents(spark, sf_dir), "text").select(
         "doc_id", "cluster_id")
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rescuelens.sources.layout import spread
+
 #: phrase number = doc_id % 20
 PHRASES = [
     "We are trapped in the house after the flood",
@@ -42,6 +44,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, for text work: spread over the cores even if they are one file."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+
+
 def _pick(options: list[str], by: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, options)), (by + 1).cast("int"))
 
@@ -51,7 +58,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, k = F.col("doc_id"), F.col("doc_id") % 20
     whole = F.when(k.isin(*ALONE), _pick(PHRASES, k)).otherwise(
         F.concat(_pick(PHRASES, k), F.lit(" "), F.col("text")))
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         d.alias("seq"),
         F.when(d % 11 == 0, "").when(d % 10 == 3, (d - 2).cast("string"))
          .otherwise(d.cast("string")).alias("post_id"),

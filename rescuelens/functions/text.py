@@ -9,6 +9,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rescuelens.functions.regex import SPACE
 
@@ -36,25 +37,39 @@ def _ranges(ranges) -> str:
 
 
 # one character from each block that fills most non-ASCII text
-_FREQUENT = "éğş’αжمक中あ가😀"
+_FREQUENT = "éğş’αжमک中あ가"
+_EMOJI = ord("😀")
 
 
-def _char_class(chars) -> str:
-    """Pattern for one character of a large set.
+def _run_around(point: int, taken: list[list[int]]) -> list[int] | None:
+    """Longest run of code points around one that touches no taken range."""
+    if any(a <= point <= b for a, b in taken):
+        return None
+    return [max((b + 1 for a, b in taken if b < point), default=0),
+            min((a - 1 for a, b in taken if a > point), default=sys.maxunicode)]
+
+
+def may_hold(c: Column, chars) -> Column:
+    """True if the text holds one of a large set of characters.
 
     A class of hundreds of ranges is slow, so single ranges come first and rule out
-    ASCII and the runs around frequent letters; what is left meets the whole set.
-    (Written as a positive range: a negated class is several times slower.)
+    ASCII and the runs around frequent letters; only what is left meets the whole set.
+    (The first range is a positive one: a negated class is several times slower.) A
+    look-behind sees only half of a character outside the basic plane, so there every
+    character that is not an emoji counts as one of the set, if the set has any there.
     """
     points = _range_list(chars)
+    low = [r for r in points if r[1] <= 0xFFFF]
     runs = []
-    for c in map(ord, _FREQUENT):
-        below = max((r[1] for r in points if r[1] < c), default=-1)
-        above = min((r[0] for r in points if r[0] > c), default=sys.maxunicode + 1)
-        if not any(a <= c <= b for a, b in points) and [below + 1, above - 1] not in runs:
-            runs.append([below + 1, above - 1])
+    for run in (_run_around(ord(f), low + [[0xD800, 0x10FFFF]]) for f in _FREQUENT):
+        if run is not None and run not in runs:
+            runs.append(run)
     skips = "".join(f"(?<![{_ranges([r])}])" for r in runs)
-    return rf"[\x{{80}}-\x{{10FFFF}}]{skips}(?<=[{_ranges(points)}])"
+    found = c.rlike(rf"[\x{{80}}-\x{{FFFF}}]{skips}(?<=[{_ranges(low)}])")
+    if len(low) < len(points):
+        a, b = _run_around(_EMOJI, points)
+        found = found | c.rlike(f"[{_ranges([[0x10000, a - 1], [b + 1, 0x10FFFF]])}]")
+    return found
 
 
 # --- white space ----------------------------------------------------------
@@ -103,9 +118,8 @@ def fold(c: Column | str) -> Column:
     # (taking ı back between the two also keeps the optimiser from merging them)
     raised = F.translate(F.upper(F.translate(low, "ı", _PARKED)), _PARKED, "ı")
     long_way = F.translate(F.lower(raised), "".join(left), "".join(left.values()))
-    rest = _char_class(set(extras) - {"ß"})
     return (F.when(F.length(text) == F.octet_length(text), low)
-            .when(low.rlike(rest), long_way)
+            .when(may_hold(low, set(extras) - {"ß"}), long_way)
             .otherwise(F.replace(low, F.lit("ß"), F.lit("ss"))))
 
 
@@ -140,22 +154,21 @@ def title_case(c: Column | str) -> Column:
 # --- compatibility normalisation -------------------------------------------
 
 @lru_cache(maxsize=1)
-def _needs_nfkc() -> str:
-    """Class of the characters without which a text is already in NFKC form.
+def _nfkc_risks() -> frozenset[str]:
+    """The characters without which a text is already in NFKC form.
 
-    Those are characters that NFKC changes, marks, and characters that may join
-    the one before them.
+    Those are characters that NFKC changes, marks, and characters that may join the one
+    before them.
     """
     risky = set()
     for c in _code_points():
         if unicodedata.combining(c) or unicodedata.normalize("NFKC", c) != c:
             risky.add(c)
-        parts = unicodedata.normalize("NFD", c)
-        risky.update(parts[1:])
-    return _char_class(risky)
+        risky.update(unicodedata.normalize("NFD", c)[1:])
+    return frozenset(risky)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc_batch(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
@@ -163,7 +176,7 @@ def _nfkc_batch(texts: pd.Series) -> pd.Series:
 def nfkc(c: Column | str) -> Column:
     """NFKC. Only rows that can change are handed to Python; the rest pass as null."""
     text = _col(c)
-    return F.coalesce(_nfkc_batch(F.when(text.rlike(_needs_nfkc()), text)), text)
+    return F.coalesce(_nfkc_batch(F.when(may_hold(text, _nfkc_risks()), text)), text)
 
 
 # --- evaluating an expression once ------------------------------------------

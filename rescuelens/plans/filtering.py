@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rescuelens import session
 from rescuelens.functions import signals as sg
 from rescuelens.operators import dedup, funnel, masks
-from rescuelens.sources import readers, writers
+from rescuelens.sources import layout, readers, writers
 
 
 def help_posts(df: DataFrame, id_col: str, text_col: str, order: Sequence[str],
@@ -81,7 +81,7 @@ def run_filter(spark: SparkSession, corpus: Corpus, path, output: str, mode: str
     """
     posts = readers.read_tsv(spark, path, corpus.columns, corpus.required, corpus.recursive,
                              order=True)
-    kept = help_posts(posts, corpus.id_col, corpus.text_col, readers.SCAN_ORDER, corpus.rules,
+    kept = help_posts(layout.spread(posts), corpus.id_col, corpus.text_col, readers.SCAN_ORDER, corpus.rules,
                       mode, allow_retweets)
     staging = session.fresh_path(spark, "kept")
     kept.write.parquet(staging)
