@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,7 +96,7 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], wanted: Sequence[st
     columns of ``SCAN_ORDER``.
     """
     files = list_files(spark, path, "*.tsv", recursive)
-    first = min(files.inputFiles())
+    first = unquote(min(files.inputFiles()))
     line = spark.read.text(first).first()
     header = line[0].lstrip("﻿").split("\t") if line else []
     names = columns.clean_names(header)
@@ -192,7 +193,7 @@ def read_csv_any_encoding(spark: SparkSession, path, wanted: Sequence[str] | Non
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     by_encoding: dict[str, list[str]] = {}
     for row in file_encodings(spark, path).collect():
-        by_encoding.setdefault(row.encoding, []).append(row.file)
+        by_encoding.setdefault(row.encoding, []).append(unquote(row.file))
     if not by_encoding:
         raise FileNotFoundError(f"no readable files under {path}")
     return append_all(*[read_csv(spark, files, wanted, required, encoding)
