@@ -36,9 +36,8 @@ def json_valid_rate(spark, sf_dir):
 
 def _violations(profile):
     def query(spark, sf_dir):
-        found = an.label_violations(F.col("parsed"), profile)
-        return _envelope(spark, sf_dir).select(
-            "answer_id", F.array_join(found, "|").alias("violations"))
+        return an.with_violations(_envelope(spark, sf_dir), "parsed", profile).select(
+            "answer_id", F.array_join("violations", "|").alias("violations"))
     return query
 
 

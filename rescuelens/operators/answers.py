@@ -75,41 +75,46 @@ _WHOLE = r"^(BIGINT|DECIMAL\([0-9]+,0\))$"
 _NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*\))$"
 
 
-def label_violations(json: Column, profile: Profile) -> Column:
-    """Broken rules of a JSON label, as ``field:rule`` texts in schema order.
+def with_violations(df: DataFrame, json_col: str, profile: Profile,
+                    name: str = "violations") -> DataFrame:
+    """Add the broken rules of a JSON label, as ``field:rule`` texts in schema order.
 
     Rules: ``missing`` key, wrong ``type``, ``value`` outside the vocabulary or range,
     and one ``extra:<key>`` for every key the schema does not have. A text that is no
     object gives the single entry ``object``.
+
+    The text is parsed once; all checks read the parsed value and the two key lists.
     """
-    value = F.try_parse_json(json)
+    json = F.col(json_col)
+    df = text.evaluate_once(df, "_value", F.when(is_one_object(json), F.try_parse_json(json)))
+    df = text.evaluate_once(df, "_keys", F.struct(
+        F.json_object_keys(json).alias("top"),
+        F.json_object_keys(F.get_json_object(json, "$.location")).alias("place")))
+    value = F.col("_value")
 
     def kind(path: str) -> Column:
         return F.schema_of_variant(F.try_variant_get(value, path, "variant"))
 
     def field(path: str, types: str, rule: Column | None = None) -> Column:
-        name = F.lit(path[2:])
-        known = F.json_object_keys(json) if path.count(".") == 1 else F.json_object_keys(
-            F.get_json_object(json, "$.location"))
+        label = F.lit(path[2:])
+        known = F.col("_keys.top" if path.count(".") == 1 else "_keys.place")
         present = F.coalesce(F.array_contains(known, path.rsplit(".", 1)[1]), F.lit(False))
-        check = (F.when(~present, F.concat(name, F.lit(":missing")))
+        check = (F.when(~present, F.concat(label, F.lit(":missing")))
                  .when(~F.coalesce(kind(path), F.lit("VOID")).rlike(types),
-                       F.concat(name, F.lit(":type"))))
+                       F.concat(label, F.lit(":type"))))
         if rule is not None:
-            check = check.when(~F.coalesce(rule, F.lit(True)), F.concat(name, F.lit(":value")))
+            check = check.when(~F.coalesce(rule, F.lit(True)), F.concat(label, F.lit(":value")))
         return check
 
     def string(path: str) -> Column:
         return F.try_variant_get(value, path, "string")
 
-    def strings(path: str) -> Column:
-        return F.try_variant_get(value, path, "array<string>")
-
     def share(path: str) -> Column:
         return F.try_variant_get(value, path, "double").between(0.0, 1.0)
 
     def all_in(path: str, allowed) -> Column:
-        return F.size(F.array_except(strings(path), F.array(*map(F.lit, allowed)))) == 0
+        values = F.try_variant_get(value, path, "array<string>")
+        return F.size(F.array_except(values, F.array(*map(F.lit, allowed)))) == 0
 
     text_list = r"^ARRAY<(STRING|VOID)>$"
     nullable_text = r"^(STRING|VOID)$"
@@ -131,11 +136,11 @@ def label_violations(json: Column, profile: Profile) -> Column:
     ]
     if lx.CLUSTER_KEY in profile.keys:
         checks.append(field(f"$.{lx.CLUSTER_KEY}", nullable_text))
-    unknown = F.array_except(F.json_object_keys(json), F.array(*map(F.lit, profile.keys)))
+    unknown = F.array_except("_keys.top", F.array(*map(F.lit, profile.keys)))
     extra = F.transform(F.array_sort(unknown), lambda k: F.concat(F.lit("extra:"), k))
-    return F.when(
-        is_one_object(json), F.concat(F.array_compact(F.array(*checks)), extra)
-    ).otherwise(F.array(F.lit("object")))
+    return df.withColumn(name, F.when(
+        value.isNotNull(), F.concat(F.array_compact(F.array(*checks)), extra)
+    ).otherwise(F.array(F.lit("object")))).drop("_value", "_keys")
 
 
 def parse_label(json: Column) -> Column:

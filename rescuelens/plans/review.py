@@ -14,8 +14,6 @@ def review_answers(df: DataFrame, raw_col: str,
 
     Answers without valid JSON keep their row; their label is null.
     """
-    found = answers.with_envelope(df, raw_col)
+    found = answers.with_violations(answers.with_envelope(df, raw_col), "parsed", profile)
     repaired = answers.repair_label(answers.parse_label(F.col("parsed")))
-    return found.withColumns({
-        "violations": answers.label_violations(F.col("parsed"), profile),
-        "label": F.when(F.col("is_json"), repaired)})
+    return found.withColumn("label", F.when(F.col("is_json"), repaired))

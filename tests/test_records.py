@@ -57,13 +57,13 @@ def test_envelope(spark, raw, valid):
     ("nope", ["object"]), ("[1]", ["object"]), (None, ["object"])])
 def test_violations(spark, raw, want):
     df = spark.createDataFrame([(raw,)], "t string")
-    assert df.select(answers.label_violations(F.col("t"), answers.RUNTIME)).first()[0] == want
+    assert answers.with_violations(df, "t", answers.RUNTIME).first().violations == want
 
 
 def test_corrected_profile(spark):
     raw = changed(needs=["food", "tents"], post_type="help_offer", dedup_cluster_id=5)
     df = spark.createDataFrame([(raw,)], "t string")
-    assert df.select(answers.label_violations(F.col("t"), answers.CORRECTED)).first()[0] == [
+    assert answers.with_violations(df, "t", answers.CORRECTED).first().violations == [
         "needs:value", "dedup_cluster_id:type"]
 
 
