@@ -40,7 +40,7 @@ def _render(node: dict) -> str:
     return f"(?:{'|'.join(branches)})" + ("?" if "" in node else "")
 
 
-def _search(phrases: Iterable[str], chunk: int = 6) -> str:
+def _search(phrases: Iterable[str], chunk: int = 8) -> str:
     """Prefix tree whose first letters are tried in chunks behind a character class."""
     root = _prefix_tree(phrases)
     letters = sorted(root)
@@ -61,12 +61,20 @@ def any_phrase(phrases: Iterable[str]) -> str:
     return _START + _search(phrases) + AFTER
 
 
+# Single characters of a class are looked up in a table, which ranges are not; so the
+# ASCII characters that end a word are listed one by one.
+_MAY_PRECEDE = "".join(rf"\x{i:02X}" for i in range(128)
+                       if not (chr(i).isalnum() or chr(i) == "_")) + r"\x{80}-\x{10FFFF}"
+
+
 def every_phrase(phrases: Iterable[str]) -> str:
-    """Zero-width pattern whose group 1 is the longest phrase starting there.
+    """Pattern whose group 1 is the longest phrase starting there.
 
-    As it consumes nothing, overlapping phrases are all found in one pass.
+    It wants the text with one blank put in front: a match is the character before the
+    phrase, and the phrase itself is only looked at. So overlapping phrases are all found
+    in one pass, and most positions are done with after one table lookup.
     """
-    return f"{_START}(?=({_search(phrases)}){AFTER})"
+    return f"[{_MAY_PRECEDE}](?=({_search(phrases)}){AFTER}){BEFORE}"
 
 
 def caseless_words(phrases: Iterable[str]) -> str:

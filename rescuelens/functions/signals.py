@@ -114,7 +114,8 @@ def with_dash_offers(rules: SignalRules) -> SignalRules:
 
 def find_phrases(folded: Column, vocabulary: Iterable[str]) -> Column:
     """Phrases of the vocabulary that occur in folded text as whole words."""
-    return F.regexp_extract_all(folded, F.lit(regex.every_phrase(vocabulary)), F.lit(1))
+    return F.regexp_extract_all(
+        F.concat(F.lit(" "), folded), F.lit(regex.every_phrase(vocabulary)), F.lit(1))
 
 
 def has_any(phrases: Column, wanted: Iterable[str]) -> Column:

@@ -128,14 +128,20 @@ def dotless(c: Column | str) -> Column:
     return F.replace(_col(c), F.lit("ı"), F.lit("i"))
 
 
+def _unless_ascii(text: Column, otherwise: Column) -> Column:
+    """Plain lower case for ASCII rows, which need nothing else."""
+    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(otherwise)
+
+
 def fold_for_search(c: Column | str) -> Column:
     """Folding under which the signal word lists are compared."""
-    return dotless(fold(c))
+    return _unless_ascii(_col(c), dotless(fold(c)))
 
 
 def fold_letters(c: Column | str) -> Column:
     """Length-preserving folding for the labeller, where İ, I, ı and i are equal."""
-    return dotless(F.lower(F.replace(_col(c), F.lit("İ"), F.lit("i"))))
+    return _unless_ascii(
+        _col(c), dotless(F.lower(F.replace(_col(c), F.lit("İ"), F.lit("i")))))
 
 
 def search_form(phrase: str) -> str:
