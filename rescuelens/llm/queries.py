@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rescuelens.llm import packing
+from rescuelens.llm import decontamination, packing, quality
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,54 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("offset").cast("long").alias("offset"))
 
 
-QUERIES = {"op1_packing": op1_packing}
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.overlaps(read(spark, sf_dir, "documents"),
+                                     read(spark, sf_dir, "benchmark"))
+    n_hit = decontamination.n_hit(F.col("words_hit"))
+    names = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"))
 
-ORACLES: dict[str, str] = {}
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS s
+  FROM (SELECT item_id, w, least(len(w), 10) AS n,
+               unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM b WHERE len(w) > 0)),
+pos AS (
+  SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k
+        FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, pos.n AS n, k, item_id FROM pos JOIN win ON pos.n = win.n AND pos.s = win.s),
+words AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+          FROM (SELECT doc_id, unnest(range(k, k + n)) AS place FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items,
+                 string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names
+          FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return rated.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
+    "op9_quality": op9_quality,
+}
+
+ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL}

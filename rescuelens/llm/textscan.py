@@ -88,14 +88,15 @@ def _segments(data: np.ndarray) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def words_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_of(data: np.ndarray, starts: np.ndarray, lower: bool = True
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words (runs of anything but blanks) of consecutive texts.
 
     ``starts`` holds where each text begins in ``data``. Returns per word: hash of its bytes
-    with A-Z lowered, number of its text, first byte, byte after the last.
+    (with A-Z lowered, if so wished), number of its text, first byte, byte after the last.
     """
     if len(data) > SLICE and len(starts) == 1:
-        parts = [words_of(data[a:b], np.zeros(1, np.int64)) + (a,) for a, b in _segments(data)]
+        parts = [words_of(data[a:b], np.zeros(1, np.int64), lower) + (a,) for a, b in _segments(data)]
         return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]),
                 np.concatenate([p[2] + p[4] for p in parts]),
                 np.concatenate([p[3] + p[4] for p in parts]))
@@ -108,7 +109,8 @@ def words_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     first, last = np.flatnonzero(at_start), np.flatnonzero(after_end)
     up, down = _powers.upto(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+    np.cumsum(((_LOWER[data] if lower else data).astype(np.uint64) + np.uint64(1)) * up[:-1],
+              out=total[1:])
     hashes = mix((total[last] - total[first]) * down[first])
     row = np.searchsorted(starts, first, "right") - 1
     return hashes, row, first, last
