@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rescuelens.llm import decontamination, packing, quality
+from rescuelens.llm import decontamination, near_dedup, packing, quality
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -63,6 +63,34 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.linked(read(spark, sf_dir, "documents"), shingle_words=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP4_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, shingle FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+      ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS shingle FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pair JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * shared >= 80 * (na.n + nb.n - shared)),
+sym AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, sym.b FROM reach JOIN sym ON sym.a = reach.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.b) AS component_id,
+       d.doc_id = min(reach.b) AS kept
+FROM d JOIN reach ON reach.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return rated.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
@@ -71,7 +99,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
+    "op4_near_dedup": op4_near_dedup,
     "op9_quality": op9_quality,
 }
 
-ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL}
+ORACLES: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
+    "op4_near_dedup": OP4_SQL,
+}
