@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rescuelens.llm import decontamination, near_dedup, packing, quality
+from rescuelens.llm import decontamination, line_dedup, near_dedup, packing, quality
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -91,6 +91,29 @@ FROM d JOIN reach ON reach.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP
 """
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = line_dedup.with_bitmaps(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return marked.select(
+        "doc_id", F.col("line_n").alias("n_lines"), F.col("line_dropped").alias("n_dropped"),
+        F.sha2(line_dedup.kept_text(F.col("text"), F.col("line_runs")), 256).alias("kept_sha256"))
+
+
+OP5_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first_doc FROM k WHERE length(key) >= 10 GROUP BY key),
+m AS (SELECT doc_id, pos, line, coalesce(doc_id <> first_doc, false) AS gone
+      FROM k LEFT JOIN f ON f.key = k.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return rated.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
@@ -100,10 +123,12 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
     "op4_near_dedup": op4_near_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op9_quality": op9_quality,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op4_near_dedup": OP4_SQL,
+    "op5_line_dedup": OP5_SQL,
 }
