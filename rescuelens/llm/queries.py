@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rescuelens.llm import decontamination, line_dedup, near_dedup, packing, quality
+from rescuelens.llm import decontamination, license_scan, line_dedup, near_dedup, packing, quality
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -114,6 +114,10 @@ FROM m GROUP BY doc_id
 """
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents")).drop("hits")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return rated.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
@@ -124,6 +128,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_near_dedup": op4_near_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_license_scan": op6_license_scan,
     "op9_quality": op9_quality,
 }
 
