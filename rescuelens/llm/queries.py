@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rescuelens.llm import decontamination, license_scan, line_dedup, near_dedup, packing, quality
+from rescuelens.llm import (decontamination, license_scan, line_dedup, near_dedup, packing, quality,
+                            secret_scan)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -118,6 +119,23 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents")).drop("hits")
 
 
+def _joined_spans(spans) -> F.Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"),
+                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(_joined_spans(base), 256).alias("base_sha256"),
+                        _joined_spans(F.col("spans")).alias("spans"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return rated.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
@@ -129,6 +147,7 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_license_scan": op6_license_scan,
+    "op8_secret_scan": op8_secret_scan,
     "op9_quality": op9_quality,
 }
 
