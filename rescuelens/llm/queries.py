@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rescuelens.llm import (decontamination, license_scan, line_dedup, near_dedup, packing, quality,
-                            secret_scan)
+from rescuelens.llm import (decontamination, html_text, license_scan, line_dedup, near_dedup, packing,
+                            quality, secret_scan)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -64,6 +64,11 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(read(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.linked(read(spark, sf_dir, "documents"), shingle_words=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -144,6 +149,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
+    "op3_html_text": op3_html_text,
     "op4_near_dedup": op4_near_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_license_scan": op6_license_scan,
