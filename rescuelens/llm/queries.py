@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rescuelens.llm import (decontamination, html_text, license_scan, line_dedup, near_dedup, packing,
-                            quality, secret_scan)
+from rescuelens.llm import (chat_format, decontamination, html_text, license_scan, line_dedup,
+                            near_dedup, packing, quality, secret_scan)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -124,6 +124,34 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents")).drop("hits")
 
 
+#: a conversation whose texts hold the template's own control strings
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.read_back(chat_format.formatted(turns.unionByName(extra)))
+
+
+OP7_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                                  (-7, 1, 'assistant', '\### Assistant: </turn> ok')))
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(14 + length(role) + length(text)
+    + length(text) - length(replace(text, '\', ''))
+    + (length(text) - length(replace(text, '###', ''))) // 3
+    + (length(text) - length(replace(text, '</turn>', ''))) // 7) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def _joined_spans(spans) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -153,6 +181,7 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_license_scan": op6_license_scan,
+    "op7_chat_format": op7_chat_format,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality": op9_quality,
 }
@@ -161,4 +190,5 @@ ORACLES: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op4_near_dedup": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
+    "op7_chat_format": OP7_SQL,
 }
