@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rescuelens.llm import (chat_format, decontamination, html_text, license_scan, line_dedup,
-                            near_dedup, packing, quality, secret_scan)
+                            near_dedup, packing, quality, secret_scan, toxicity)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -174,6 +174,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted",
+        F.array_join(F.transform("evidence", lambda e: e["doc_id"].cast("string")), ",").alias("nearest"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -184,6 +190,7 @@ QUERIES = {
     "op7_chat_format": op7_chat_format,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
