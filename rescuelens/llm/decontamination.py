@@ -165,6 +165,29 @@ def overlaps(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS,
     return merged.mapInPandas(_join_runs, HITS)
 
 
+def clean_rows(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS,
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows without any window of any item, with all their columns; nothing is moved."""
+    context = docs.sparkSession.sparkContext
+
+    def without(block):
+        name = uuid.uuid4().hex
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            machine = _machine(name, block, size)
+            for batch in batches:
+                data, offsets = textscan.raw_texts(batch.column("text"))
+                keep = [machine is None or next(machine.iter(normalised(
+                    data[offsets[r]:offsets[r + 1]].tobytes()).decode("latin-1")), None) is None
+                    for r in range(batch.num_rows)]
+                yield batch.filter(pa.array(keep, pa.bool_()))
+        return run
+
+    for block in item_blocks(items, block_bytes):
+        docs = docs.mapInArrow(without(context.broadcast(block)), docs.schema)
+    return docs
+
+
 def _join_runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Runs found in several blocks become runs that don't touch."""
     def joined(spans: list[dict]) -> list[dict]:

@@ -105,3 +105,22 @@ def kept_text(text: Column, runs: Column) -> Column:
     marked = F.zip_with(lines_of(text), keep, lambda line, k: F.when(k, line))
     return F.when(F.size(runs) == 1, F.coalesce(text, F.lit(""))).otherwise(
         F.array_join(marked, "\n"))
+
+
+def without_repeats(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = SALTS) -> DataFrame:
+    """``docs`` with the kept text in place of the text, and ``n_chars`` set after it.
+
+    A document that lost lines and has no line of ``least_chars`` left is dropped: what it held
+    is in earlier documents.
+    """
+    row = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    marked = with_bitmaps(row, least_chars, salts).select(
+        "row", "line_dropped", kept_text(F.col("text"), F.col("line_runs")).alias("kept"))
+    some = F.exists(lines_of(F.col("kept")), lambda line: F.length(line_key(line)) >= least_chars)
+    kept = marked.filter((F.col("line_dropped") == 0) | some)
+    changed = F.col("line_dropped") > 0
+    new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("row.text")),
+           "n_chars": F.when(changed, F.length("kept")).otherwise(F.col("row.n_chars"))
+           if "n_chars" in docs.columns else None}
+    return kept.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col("row")[c]).alias(c)
+                         for c in docs.columns])

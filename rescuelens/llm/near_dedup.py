@@ -261,3 +261,12 @@ def linked(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     of_class = own.join(named, "digest").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     alone = signs.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return of_class.unionByName(alone).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def first_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
+                  percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """The rows of documents that are the first of their component, with all their columns."""
+    gone = staging.stage(linked(docs, shingle_words, percent).filter("NOT kept").select(
+        F.col("doc_id").alias("gone_id")), "gone")
+    ids = F.broadcast(gone) if gone.count() <= SENT_IDS else gone
+    return docs.join(ids, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")

@@ -211,26 +211,30 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> np.nda
     return fit(labelled_sample(docs, labels, rows), shares)
 
 
+def _rated(column: pa.Array, model: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray | None]:
+    """Counts and calibrated quality of a column of texts."""
+    columns, quality = [[np.zeros(0, np.int64)] for _ in COUNTS], [np.zeros(0)]
+    for part in text_slices(column):
+        for into, found in zip(columns, part.counts()):
+            into.append(found)
+        if model is not None:
+            slope, offset = model[-2:].astype(float)
+            raw = part.raw_scores(model[:KINDS * BUCKETS]) + model[KINDS * BUCKETS]
+            quality.append(_sigmoid(slope * raw + offset))
+    return [np.concatenate(c) for c in columns], np.concatenate(quality) if model is not None else None
+
+
 def scored(docs: DataFrame, model: np.ndarray | None) -> DataFrame:
     """Counts, calibrated quality (null without a model), and the verdict per row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
         for batch in batches:
-            columns, quality = [[] for _ in COUNTS], []
-            for part in text_slices(batch.column("text")):
-                for into, found in zip(columns, part.counts()):
-                    into.append(found)
-                if fitted is not None:
-                    slope, offset = fitted[-2:].astype(float)
-                    raw = part.raw_scores(fitted[:KINDS * BUCKETS]) + fitted[KINDS * BUCKETS]
-                    quality.append(_sigmoid(slope * raw + offset))
-            ready = [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in columns]
-            quality = (pa.array(np.concatenate(quality), pa.float64()) if quality
-                       else pa.nulls(batch.num_rows, pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"),
-                                              *ready, quality], SCORED.names)
+            counts, quality = _rated(batch.column("text"), shared.value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("row_key"), *(pa.array(c, pa.int64()) for c in counts),
+                 pa.nulls(batch.num_rows, pa.float64()) if quality is None else pa.array(quality)],
+                SCORED.names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.monotonically_increasing_id().alias("row_key"))
@@ -240,6 +244,20 @@ def scored(docs: DataFrame, model: np.ndarray | None) -> DataFrame:
         "kept", ~F.col("base_failed") & (F.coalesce("quality", F.lit(1.0)) >= LEAST_QUALITY))
 
 
+def kept_rows(docs: DataFrame, model: np.ndarray | None) -> DataFrame:
+    """The rows whose text is kept, with all their columns; nothing is joined or moved."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, quality = _rated(batch.column("text"), shared.value)
+            words, repeated = counts[0], counts[COUNTS.index("n_repeat_words")]
+            keep = (words >= LEAST_WORDS) & (100 * repeated <= MOST_REPEATED * words)
+            yield batch.filter(pa.array(keep if quality is None else keep & (quality >= LEAST_QUALITY)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def rate(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Trains on the labels and scores every document."""
     return scored(docs, train(docs, labels, rows))
