@@ -96,10 +96,15 @@ def words_of(data: np.ndarray, starts: np.ndarray, lower: bool = True
     (with A-Z lowered, if so wished), number of its text, first byte, byte after the last.
     """
     if len(data) > SLICE and len(starts) == 1:
-        parts = [words_of(data[a:b], np.zeros(1, np.int64), lower) + (a,) for a, b in _segments(data)]
+        parts = [_words_within(data[a:b], np.zeros(1, np.int64), lower) + (a,) for a, b in _segments(data)]
         return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]),
                 np.concatenate([p[2] + p[4] for p in parts]),
                 np.concatenate([p[3] + p[4] for p in parts]))
+    return _words_within(data, starts, lower)
+
+
+def _words_within(data: np.ndarray, starts: np.ndarray, lower: bool
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     solid = np.zeros(len(data) + 2, bool)
     np.logical_not(_BLANK[data], out=solid[1:-1])
     at_start, after_end = solid[1:] & ~solid[:-1], solid[:-1] & ~solid[1:]
