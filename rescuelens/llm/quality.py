@@ -174,9 +174,9 @@ def fit(sample: DataFrame, shares: dict[int, int]) -> np.ndarray | None:
                     grams = [np.unique(b[f[k]:t[k]], return_counts=True) for b, f, t in kinds]
                     rows.append((np.concatenate([g[0] for g in grams]), np.concatenate(
                         [g[1] / max(t[k] - f[k], 1) for g, (_, f, t) in zip(grams, kinds)])))
-        if not rows:
+        good = np.array(good, int) == 1
+        if good.all() or not good.any():
             return
-        good = np.array(good) == 1
         held = np.arange(len(rows)) % 5 == 0
         used = [r for r, h in zip(rows, held) if not h]
         weights = _fit_weights(used, good[~held])
@@ -207,7 +207,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> np.ndarray | None:
     shares = {r.quality: r["count"] for r in
-              labels.filter("quality IN (0, 1)").groupBy("quality").count().collect()}
+              labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("quality").count().collect()}
     return fit(labelled_sample(docs, labels, rows), shares)
 
 
