@@ -36,8 +36,9 @@ TERMS = 768
 PREFIXES = (4, 5, 6)
 NEAREST = 16
 BLOCK = 64
-#: a term is kept if so many toxic examples hold it at least
-LEAST_TOXIC = 5
+#: a term is kept if so many toxic examples hold it at least, if its share among them is so many
+#: times that among clean ones, and if the likelihood ratio is beyond what chance gives
+LEAST_TOXIC, LEAST_RATIO, LEAST_WORTH = 5, 4, 8
 #: weight of the share of toxic labels in every vote
 PRIOR_WEIGHT = 0.2
 THRESHOLD = 0.7
@@ -69,11 +70,11 @@ def term_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _likelihood(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
-    """Log likelihood ratio of a term's counts, 0 where it speaks for clean texts."""
+    """Log likelihood ratio of a term's counts, 0 where its shares are too much alike."""
     a, b = toxic + 0.5, clean + 0.5
     both = (a + b) / (n_toxic + n_clean + 1)
     ratio = a * np.log(a / (n_toxic + 1) / both) + b * np.log(b / (n_clean + 1) / both)
-    return np.where(a / (n_toxic + 1) > b / (n_clean + 1), ratio, 0)
+    return np.where(a / (n_toxic + 1) > LEAST_RATIO * b / (n_clean + 1), ratio, 0)
 
 
 def telling_terms(sample: DataFrame, terms: int = TERMS) -> np.ndarray:
@@ -102,7 +103,7 @@ def telling_terms(sample: DataFrame, terms: int = TERMS) -> np.ndarray:
             clean = np.where(others[place] == names, times[place], 0)
         worth = _likelihood(toxic, clean, rows[True], rows[False])
         best = np.lexsort((names, -worth))[:terms]
-        kept = np.sort(names[best[worth[best] > 0]])
+        kept = np.sort(names[best[worth[best] >= LEAST_WORTH]])
         yield pa.RecordBatch.from_arrays([pa.array([kept.tobytes()], pa.binary())], ["terms"])
 
     ordered = sample.select("text", "toxic", "doc_id").repartition(1).sortWithinPartitions("doc_id")
