@@ -42,7 +42,7 @@ SYMBOLS = CHUNKS * CHUNK_SYMBOLS
 #: most symbols in which two sets of the threshold's similarity differ, but for 1 pair in 10^7
 MOST_DIFFERENT = 34
 #: classes and shingles of one of the two blocks that are compared in one task
-BLOCK_ROWS, BLOCK_SHINGLES = 2000, 4_000_000
+BLOCK_ROWS, BLOCK_SHINGLES = 500, 2_000_000
 #: up to so many ids a broadcast picks the texts of the families, beyond it a shuffle
 SENT_IDS = 1_000_000
 
