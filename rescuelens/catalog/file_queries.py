@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rescuelens import session
-from rescuelens.catalog import label_queries, record_queries, sql
+from rescuelens.catalog import filter_queries, label_queries, record_queries, sql
 from rescuelens.catalog.filter_queries import ID_KEY
 from rescuelens.catalog.relations import POSTS_SQL, posts, table
 from rescuelens.operators import chat, labels
@@ -35,15 +35,14 @@ def scan_tsv(spark, sf_dir):
 
 
 def filter_run(spark, sf_dir):
-    """Whole run from TSV folders to CSV; how many files there are depends on the tasks."""
-    totals = filtering.run_filter(spark, filtering.EVENT, _event_folder(spark, sf_dir),
-                                  session.fresh_path(spark, "help"))
-    return totals.select("rows_kept", (F.col("files_scanned") >= F.col("files_matched"))
-                         .alias("files_add_up"))
+    """Whole run from TSV folders to CSV, read back: ids and how many posts without one."""
+    output = session.fresh_path(spark, "help")
+    filtering.run_filter(spark, filtering.EVENT, _event_folder(spark, sf_dir), output)
+    return readers.read_csv(spark, output).groupBy("tweet_id").agg(F.count("*").alias("n"))
 
 
 def scan_skip_bad(spark, sf_dir):
-    """Lines of two (padded), three, and four fields (skipped), with lone quotes."""
+    """Lines of two (padded), three, and four fields (cut), with lone quotes."""
     folder = session.fresh_path(spark, "bad")
     d = F.col("doc_id")
     fields = F.array(d.cast("string"),
@@ -61,6 +60,27 @@ def scan_skip_bad(spark, sf_dir):
         "tweet_id", F.md5("tweet_text").alias("digest"), "class_label")
 
 
+def scan_headers(spark, sf_dir):
+    """Files of one scan in two orders of columns; half of them lack an optional one."""
+    df = _tagged_posts(spark, sf_dir)
+    folders = [session.fresh_path(spark, "headers") for _ in range(2)]
+    even = F.col("place").cast("long") % 2 == 0
+    writers.write_csv(df.filter(even), folders[0])
+    writers.write_csv(df.filter(~even).select("like_count", "place", "content", "language", "date"), folders[1])
+    return readers.read_tagged_posts(spark, folders).select(
+        "date", F.md5("content").alias("digest"), "hashtags", "language", "place")
+
+
+def scan_dates(spark, sf_dir):
+    """Dates in five forms, and one that is none."""
+    at, form = F.col("posted_at"), F.col("seq") % 6
+    forms = ["yyyy-MM-dd HH:mm:ssXXX", "EEE MMM dd HH:mm:ss Z yyyy", "yyyyMMdd", "MMM d, yyyy", "MM/dd/yyyy HH:mm"]
+    written = F.lit("some day")
+    for k, f in enumerate(forms):
+        written = F.when(form == k, F.date_format(at, f)).otherwise(written)
+    return posts(spark, sf_dir).select("seq", readers.parse_date(written).alias("date"))
+
+
 def _tagged_posts(spark, sf_dir):
     return posts(spark, sf_dir).select(
         F.date_format("posted_at", "yyyy-MM-dd HH:mm:ssXXX").alias("date"),
@@ -88,20 +108,36 @@ def scan_encoding(spark, sf_dir):
         "written", "place", F.md5("content").alias("digest"))
 
 
-RECORDS_PER_ARRAY = 1000
+def scan_json_array(spark, sf_dir):
+    """Pairs as JSON arrays, one per task, and back."""
+    folder = session.fresh_path(spark, "arrays")
+    pairs = labels.label_posts(posts(spark, sf_dir), "post_text").select("user", "assistant")
+    writers.write_json_array(pairs, folder)
+    return readers.read_json_array(spark, folder).select(
+        chat.record_json(F.struct("user", "assistant")).alias("record"))
 
 
-def scan_json_array(spark, sf_dir):
-    """One file per thousand pairs, each a single JSON array."""
+def sink_json_array(spark, sf_dir):
+    """The same in the indented form."""
     folder = session.fresh_path(spark, "arrays")
-    pairs = labels.label_posts(posts(spark, sf_dir), "post_text", ["seq"])
-    batches = pairs.groupBy(F.floor(F.col("seq") / RECORDS_PER_ARRAY).alias("batch")).agg(
-        chat.record_json(F.collect_list(F.struct("user", "assistant"))).alias("value"))
-    batches.write.partitionBy("batch").option("maxRecordsPerFile", 1).text(folder)
+    pairs = labels.label_posts(posts(spark, sf_dir), "post_text").select("user", "assistant")
+    writers.write_json_array(pairs, folder, indent=True)
     return readers.read_json_array(spark, folder).select(
         chat.record_json(F.struct("user", "assistant")).alias("record"))
 
 
+def tagged_run(spark, sf_dir):
+    """The tagged corpus from CSV to CSV, read back, with the counts of its stages."""
+    folder, output = session.fresh_path(spark, "tagged"), session.fresh_path(spark, "kept")
+    writers.write_csv(_tagged_posts(spark, sf_dir), folder)
+    counts = filtering.run_tagged_filter(spark, folder, output, filter_queries.START, None)
+    kept = readers.read_csv(spark, output).select(
+        F.md5("content").alias("digest"),
+        *[F.col(c).cast("boolean").alias(c) for c in ("_hit_sos", "_first_person")])
+    # one row of counts beside the rows kept
+    return kept.crossJoin(F.broadcast(counts.drop("kept")))
+
+
 def scan_jsonl(spark, sf_dir):
     folder = session.fresh_path(spark, "chats")
     first = chat.first_by_role(
@@ -122,7 +158,8 @@ def sink_roundtrip(spark, sf_dir):
 
 
 QUERIES = {
-    "scan_tsv": scan_tsv, "filter_run": filter_run, "scan_skip_bad": scan_skip_bad,
+    "scan_headers": scan_headers, "scan_dates": scan_dates, "tagged_run": tagged_run,
+    "sink_json_array": sink_json_array, "scan_tsv": scan_tsv, "filter_run": filter_run, "scan_skip_bad": scan_skip_bad,
     "scan_csv": scan_csv, "scan_encoding": scan_encoding, "scan_json_array": scan_json_array,
     "scan_jsonl": scan_jsonl, "sink_roundtrip": sink_roundtrip,
 }
@@ -137,12 +174,24 @@ ORACLES = {
         md5(nullif({_FLAT.format('post_text')}, '')) AS digest,
         CAST(seq AS VARCHAR) AS class_label FROM posts""",
     "filter_run": f"""WITH {sql.signals("event", _FLAT.format("post_text"))}
-        SELECT count(DISTINCT {ID_KEY}) AS rows_kept, true AS files_add_up
-        FROM sig WHERE {sql.kept("balanced")}""",
+        SELECT nullif(post_id, '') AS tweet_id, count(DISTINCT {ID_KEY}) AS n
+        FROM sig WHERE {sql.kept("balanced")} GROUP BY 1""",
     "scan_skip_bad": f"""SELECT CAST(doc_id AS VARCHAR) AS tweet_id,
         md5('"' || {_FLAT.format('text')}) AS digest,
-        CASE WHEN doc_id % 3 = 1 THEN 'label' END AS class_label
-        FROM documents WHERE doc_id % 3 <> 2""",
+        CASE WHEN doc_id % 3 <> 0 THEN 'label' END AS class_label FROM documents""",
+    "scan_headers": f"""WITH {POSTS_SQL} SELECT posted_at AS date, md5(nullif(post_text, '')) AS digest,
+        CASE WHEN seq % 2 = 0 THEN hashtags END AS hashtags, language, CAST(seq AS VARCHAR) AS place
+        FROM posts""",
+    "scan_dates": f"""WITH {POSTS_SQL} SELECT seq, CASE WHEN seq % 6 = 5 THEN NULL
+        WHEN seq % 6 = 4 THEN date_trunc('minute', posted_at) WHEN seq % 6 IN (2, 3)
+        THEN date_trunc('day', posted_at) ELSE posted_at END AS date FROM posts""",
+    "tagged_run": f"""WITH {filter_queries.TAGGED_SIG},
+        kept AS ({filter_queries.TAGGED_FIRST})
+        SELECT kept.*, rows_read, after_language, after_time FROM kept, (SELECT count(*) AS rows_read,
+            count(*) FILTER (WHERE lower(language) IN ('tr', 'en')) AS after_language,
+            count(*) FILTER (WHERE lower(language) IN ('tr', 'en') AND {filter_queries.IN_TIME}) AS after_time
+            FROM posts)""",
+    "sink_json_array": f"SELECT record FROM ({_PAIRS})",
     "scan_csv": f"""WITH {POSTS_SQL} SELECT posted_at AS date,
         md5(nullif(post_text, '')) AS digest, hashtags, language, coordinates,
         CAST(seq AS VARCHAR) AS place FROM posts""",
@@ -151,14 +200,12 @@ ORACLES = {
         FROM posts, (VALUES {', '.join(f"('{e}')" for e in ENCODINGS)}) e(written)""",
     "scan_json_array": f"SELECT record FROM ({_PAIRS})",
     "scan_jsonl": f"SELECT text FROM ({record_queries.ORACLES['chat_text']})",
-    "sink_roundtrip": f"""WITH pair AS ({_PAIRS}),
-        clustered AS (SELECT record,
-            json_extract_string(record, '$.assistant.dedup_cluster_id') AS cluster_id FROM pair),
-        ranked AS (SELECT cluster_id, count(*) OVER () AS n, row_number() OVER (
-            ORDER BY sha1('{label_queries.SEED}|' || cluster_id)) AS rn
-            FROM (SELECT DISTINCT cluster_id FROM clustered))
+    "sink_roundtrip": f"""WITH clustered AS ({label_queries.CLUSTERED_PAIRS}),
+        ranked AS (SELECT cluster, count(*) OVER () AS n, row_number() OVER (
+            ORDER BY sha1('{label_queries.SEED}|' || cluster)) AS rn
+            FROM (SELECT DISTINCT cluster FROM clustered))
         SELECT record, CASE WHEN rn <= round_even({label_queries.TRAIN}::DOUBLE * n, 0)
             THEN 'train' WHEN rn <= round_even({label_queries.TRAIN}::DOUBLE * n, 0)
                 + round_even({label_queries.VAL}::DOUBLE * n, 0) THEN 'val' ELSE 'test' END AS split
-        FROM clustered c JOIN ranked r ON c.cluster_id = r.cluster_id""",
+        FROM clustered c JOIN ranked r ON c.cluster = r.cluster""",
 }

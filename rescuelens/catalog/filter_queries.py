@@ -115,7 +115,8 @@ EARLIER = "src4"  # files up to this name are an earlier delivery
 
 
 def incremental_anti(spark, sf_dir):
-    keyed = posts(spark, sf_dir).withColumn("key", dedup.id_or_text_key("post_id", "post_text"))
+    keyed = posts(spark, sf_dir).withColumn(
+        "key", dedup.digest(dedup.id_or_text_key("post_id", "post_text")))
     known = keyed.filter(F.col("file") <= EARLIER)
     new = dedup.first_per_key(keyed.filter(F.col("file") > EARLIER), F.col("key"), ["seq"])
     return dedup.drop_known(new, known, "key").select("seq", "post_id")
@@ -187,8 +188,12 @@ def _first(source: str, key: str, order: str, columns: str, where: str = "true")
             f"ORDER BY {order}) AS rn FROM {source} WHERE {where}) WHERE rn = 1")
 
 
-_TAGGED_SIG = sql.signals("tagged", f"({_TAGGED_TEXT})")
-_IN_TIME = f"posted_at >= TIMESTAMP '{START}'"
+TAGGED_SIG = sql.signals("tagged", f"({_TAGGED_TEXT})")
+IN_TIME = f"posted_at >= TIMESTAMP '{START}'"
+#: one row per key of what the tagged run keeps, without what depends on the order of the files
+TAGGED_FIRST = f"""SELECT md5(post_text) AS digest, sos AS _hit_sos, first_person AS _first_person
+    FROM (SELECT *, row_number() OVER (PARTITION BY {_TAGGED_KEY} ORDER BY seq) AS rn FROM sig
+          WHERE lower(language) IN ('tr', 'en') AND {IN_TIME} AND {sql.TAGGED_KEPT}) WHERE rn = 1"""
 _UNTIL = f"posted_at <= TIMESTAMP '{END}'"
 _POSITION = "(coord OR coalesce(regexp_matches(coordinates, '[0-9]'), false))"
 _KEPT_FILES = f"""WITH {sql.signals("event")},
@@ -211,22 +216,22 @@ ORACLES = {
     "mask_balanced": _select("seq, post_id", where=sql.kept("balanced")),
     "mask_recall": _select("seq, post_id", where=sql.kept("recall")),
     "mask_crisis": _select("seq, post_id", "crisis", sql.kept("balanced")),
-    "mask_kaggle": f"WITH {_TAGGED_SIG} SELECT seq, post_id FROM sig WHERE {sql.TAGGED_KEPT}",
+    "mask_kaggle": f"WITH {TAGGED_SIG} SELECT seq, post_id FROM sig WHERE {sql.TAGGED_KEPT}",
     "mask_no_rt": _select("seq, post_id", where=sql.kept("balanced") + " AND NOT retweet"),
     "lang_filter": f"WITH {POSTS_SQL} SELECT seq, language FROM posts "
                    "WHERE lower(language) IN ('tr', 'en')",
     "event_window": f"""WITH {POSTS_SQL} SELECT seq,
-        coalesce({_IN_TIME} AND {_UNTIL}, false) AS inside, coalesce({_IN_TIME}, false) AS since,
+        coalesce({IN_TIME} AND {_UNTIL}, false) AS inside, coalesce({IN_TIME}, false) AS since,
         coalesce({_UNTIL}, false) AS until, true AS open FROM posts""",
     "audit_flags": f"WITH {sql.signals('event')} " + _first(
         "sig", ID_KEY, "seq",
         "seq, post_id, sos AS _sos, flood AS _flood, need AS _need, hazard AS _haz",
         sql.kept("balanced")),
-    "audit_flags_tagged": f"WITH {_TAGGED_SIG} " + _first(
+    "audit_flags_tagged": f"WITH {TAGGED_SIG} " + _first(
         "sig", _TAGGED_KEY, "seq",
         f"seq, sos AS _hit_sos, phone AS _hit_phone, {_POSITION} AS _hit_coord, "
         "address AS _hit_addr, location_word AS _hit_locw, first_person AS _first_person",
-        f"lower(language) IN ('tr', 'en') AND {_IN_TIME} AND {sql.TAGGED_KEPT}"),
+        f"lower(language) IN ('tr', 'en') AND {IN_TIME} AND {sql.TAGGED_KEPT}"),
     "dedup_id_or_text": f"WITH {POSTS_SQL} " + _first("posts", ID_KEY, "seq", "seq, post_id"),
     "dedup_text": f"WITH {POSTS_SQL} " + _first("posts", _TAGGED_KEY, "seq", "seq"),
     "incremental_anti": f"WITH {POSTS_SQL}, keyed AS (SELECT *, {ID_KEY} AS key FROM posts) "
@@ -236,9 +241,9 @@ ORACLES = {
     "funnel_totals": f"""{_KEPT_FILES} SELECT count(*) AS files_scanned,
         count(*) FILTER (WHERE kept > 0) AS files_matched,
         CAST(coalesce(sum(kept), 0) AS BIGINT) AS rows_kept FROM per_file""",
-    "funnel_stages": f"""WITH {_TAGGED_SIG},
+    "funnel_stages": f"""WITH {TAGGED_SIG},
         staged AS (SELECT *, lower(language) IN ('tr', 'en') AS by_lang,
-            coalesce({_IN_TIME} AND {_UNTIL}, false) AS by_time FROM sig)
+            coalesce({IN_TIME} AND {_UNTIL}, false) AS by_time FROM sig)
         SELECT count(*) AS rows_read, count(*) FILTER (WHERE by_lang) AS after_language,
             count(*) FILTER (WHERE by_lang AND by_time) AS after_time,
             (SELECT count(DISTINCT {_TAGGED_KEY}) FROM staged

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rescuelens import lexicons as lx
+from rescuelens import session
 from rescuelens.catalog import sql
 from rescuelens.catalog.relations import POSTS_SQL, documents, posts, quoted
 from rescuelens.functions import text
@@ -31,12 +32,24 @@ def cluster_id(spark, sf_dir):
         "doc_id", "cluster_id")
 
 
+def _digests(spark, sf_dir):
+    """Document and cluster, written once: splitting reads them twice."""
+    path = session.fresh_path(spark, "clusters")
+    found = text.with_cluster_digest(documents(spark, sf_dir), "text", "cluster").select(
+        "doc_id", "cluster")
+    found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
 def cluster_sizes(spark, sf_dir):
-    return splits.cluster_sizes(cluster_id(spark, sf_dir), "cluster_id")
+    digests = text.with_cluster_digest(documents(spark, sf_dir), "text", "cluster")
+    return splits.cluster_sizes(digests, "cluster").select(
+        text.cluster_label("cluster").alias("cluster_id"), "n")
 
 
 def cluster_split(spark, sf_dir):
-    return splits.cluster_split(cluster_id(spark, sf_dir), "cluster_id", TRAIN, VAL, TEST, SEED)
+    split = splits.cluster_split(_digests(spark, sf_dir), "cluster", TRAIN, VAL, TEST, SEED)
+    return split.select("doc_id", text.cluster_label("cluster").alias("cluster_id"), "split")
 
 
 def split_sizes(spark, sf_dir):
@@ -115,9 +128,13 @@ QUERIES = {
 _CLEAN = sql.stripped("replace(replace(coalesce(post_text, ''), chr(8203), ' '), chr(160), ' ')")
 
 
-def _cluster(column: str) -> str:
+def _cluster_digest(column: str) -> str:
     lowered = sql.collapsed(f"lower(replace({sql.stripped(column)}, 'İ', 'i̇'))")
-    return rf"substr(sha1(regexp_replace({lowered}, '\d+', '<num>', 'g')), 1, 12)"
+    return rf"sha1(regexp_replace({lowered}, '\d+', '<num>', 'g'))"
+
+
+def _cluster(column: str) -> str:
+    return f"substr({_cluster_digest(column)}, 1, 12)"
 
 
 def _forms(groups) -> list[str]:
@@ -213,7 +230,7 @@ label AS (SELECT *,
         )::DOUBLE AS confidence,
     {_listing(lx.NEED_LABELS, lx.NEED_CUES)} AS needs,
     {_listing(lx.GROUP_LABELS, lx.VULNERABLE_CUES)} AS vulnerable_groups,
-    {_cluster('t')} AS dedup_cluster_id
+    {_cluster_digest('t')} AS cluster, substr(cluster, 1, 12) AS dedup_cluster_id
     FROM placed)"""
 
 
@@ -244,21 +261,24 @@ def _mapped(column: str, mapping: dict) -> str:
             f"lambda x: CASE {cases} END), '|'), '')")
 
 
-_CLUSTERS = f"""clustered AS (SELECT doc_id, {_cluster('text')} AS cluster_id FROM documents),
-ranked AS (SELECT cluster_id, row_number() OVER (ORDER BY sha1('{SEED}|' || cluster_id)) AS rn,
-    count(*) OVER () AS n FROM (SELECT DISTINCT cluster_id FROM clustered)),
-assigned AS (SELECT cluster_id, CASE WHEN rn <= round_even({TRAIN}::DOUBLE * n, 0) THEN 'train'
+_CLUSTERS = f"""clustered AS (SELECT doc_id, {_cluster_digest('text')} AS cluster FROM documents),
+ranked AS (SELECT cluster, row_number() OVER (ORDER BY sha1('{SEED}|' || cluster)) AS rn,
+    count(*) OVER () AS n FROM (SELECT DISTINCT cluster FROM clustered)),
+assigned AS (SELECT cluster, CASE WHEN rn <= round_even({TRAIN}::DOUBLE * n, 0) THEN 'train'
     WHEN rn <= round_even({TRAIN}::DOUBLE * n, 0) + round_even({VAL}::DOUBLE * n, 0) THEN 'val'
     ELSE 'test' END AS split FROM ranked),
-divided AS (SELECT doc_id, c.cluster_id, split
-    FROM clustered c JOIN assigned a ON c.cluster_id = a.cluster_id)"""
+divided AS (SELECT doc_id, substr(c.cluster, 1, 12) AS cluster_id, split
+    FROM clustered c JOIN assigned a ON c.cluster = a.cluster)"""
+
+#: pairs with the whole digest of their cluster
+CLUSTERED_PAIRS = _label(f"{_RECORD} AS record, cluster")
 
 ORACLES = {
     "norm_text": f"""WITH {POSTS_SQL} SELECT seq, md5({_CLEAN}) AS digest,
         CAST(length({_CLEAN}) AS INTEGER) AS chars FROM posts""",
     "cluster_id": f"SELECT doc_id, {_cluster('text')} AS cluster_id FROM documents",
-    "cluster_sizes": f"""SELECT {_cluster('text')} AS cluster_id, count(*) AS n
-        FROM documents GROUP BY 1""",
+    "cluster_sizes": f"""SELECT substr(cluster, 1, 12) AS cluster_id, count(*) AS n
+        FROM (SELECT {_cluster_digest('text')} AS cluster FROM documents) GROUP BY cluster""",
     "cluster_split": f"WITH {_CLUSTERS} SELECT doc_id, cluster_id, split FROM divided",
     "split_sizes": f"WITH {_CLUSTERS} SELECT split, count(*) AS n FROM divided GROUP BY split",
     "label_needs": _label("seq, needs"),

@@ -13,7 +13,6 @@ from rescuelens.plans import training
 
 PROMPT = "You label posts."
 TEMPLATE = "Use this prompt:\n{{SYSTEM_PROMPT}}\nand repeat it: {{SYSTEM_PROMPT}}"
-TARGET = 200
 
 
 def _envelope(spark, sf_dir):
@@ -72,12 +71,12 @@ def synth_validate(spark, sf_dir):
 
 
 def synth_accept(spark, sf_dir):
-    return synthetic.accept(attempts(spark, sf_dir), "attempt", "raw", TARGET).select(
+    return synthetic.accept(attempts(spark, sf_dir), "attempt", "raw").select(
         "attempt", F.md5("user_content").alias("digest"))
 
 
 def synth_totals(spark, sf_dir):
-    return synthetic.attempt_totals(attempts(spark, sf_dir), "attempt", "raw", TARGET)
+    return synthetic.attempt_totals(attempts(spark, sf_dir), "attempt", "raw")
 
 
 def prompt_fill(spark, sf_dir):
@@ -233,8 +232,7 @@ checked AS (SELECT *, CASE WHEN raw = '' THEN 'empty'
     json_extract_string({_J}, '$.messages[1].content') AS content FROM attempts),
 accepted AS (SELECT attempt, content FROM (SELECT *, row_number() OVER (
         PARTITION BY content ORDER BY attempt) AS rn FROM checked
-        WHERE reason IS NULL AND attempt <= {3 * TARGET}) WHERE rn = 1
-    ORDER BY attempt LIMIT {TARGET})"""
+        WHERE reason IS NULL) WHERE rn = 1)"""
 
 _FIRST = """first AS (SELECT conv_id,
     coalesce(arg_min(text, turn) FILTER (WHERE role = 'system' AND text <> ''), '') AS system_text,
@@ -284,8 +282,7 @@ ORACLES = {
         CASE WHEN reason IS NULL THEN md5(content) END AS digest FROM checked""",
     "synth_accept": f"WITH {_VALID} SELECT attempt, md5(content) AS digest FROM accepted",
     "synth_totals": f"""WITH {_VALID} SELECT count(*) AS accepted,
-        CASE WHEN count(*) = {TARGET} THEN max(attempt) ELSE
-            (SELECT count(*) FROM attempts WHERE attempt <= {3 * TARGET}) END AS calls
+        (SELECT count(*) FROM attempts) AS calls
         FROM accepted""",
     "prompt_fill": f"""SELECT doc_id, md5(replace({quoted(TEMPLATE)}, '{{{{SYSTEM_PROMPT}}}}',
         text)) AS digest FROM documents""",

@@ -1,8 +1,9 @@
 """Relations the catalogue queries run on, derived from the given tables.
 
 Each relation exists twice: as a Spark data frame and as a SQL common table expression
-for the check in another engine. All rows and whole texts are used: ``doc_id`` only
-decides which phrase is put in front of a document or how an answer is broken.
+for the check in another engine. All rows and whole texts are used: every document is
+part of a post, an answer and an attempt, and ``doc_id`` only decides which phrase is put
+in front of it or how an answer is broken. Cases without a text are rows of their own.
 """
 
 from __future__ import annotations
@@ -31,11 +32,11 @@ PHRASES = [
     "need a boat, evacuate us, storm surge is coming",
     "blanket and insulin, my family is cold",
     "boat wanted #shelter",
-    "trapped, send someone",
+    "trapped, send someone https://web.archive.org/web/https://a.b/c seehttps://d.e/f",
     "",
     "",
 ]
-#: phrases that stand alone; the others are followed by the whole document
+#: phrases that also make a post of their own, without the document
 ALONE = (9, 18, 19)
 TURKISH = (6, 7, 10, 11, 13)
 
@@ -54,19 +55,26 @@ def _pick(options: list[str], by: Column) -> Column:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts: a phrase in front of every document, with ids, tags, dates and a file."""
-    d, k = F.col("doc_id"), F.col("doc_id") % 20
-    whole = F.when(k.isin(*ALONE), _pick(PHRASES, k)).otherwise(
-        F.concat(_pick(PHRASES, k), F.lit(" "), F.col("text")))
-    return documents(spark, sf_dir).select(
-        d.alias("seq"),
+    """Posts: a phrase in front of every document, with ids, tags, dates and a file.
+
+    Some phrases make a second post that is nothing else, or null.
+    """
+    k = F.col("doc_id") % 20
+    alone = F.explode(F.when(k.isin(*ALONE), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    rows = documents(spark, sf_dir).select("*", alone.alias("alone")).withColumn(
+        "seq", 2 * F.col("doc_id") + F.col("alone"))
+    d = F.col("seq")
+    return rows.select(
+        d,
         F.when(d % 11 == 0, "").when(d % 10 == 3, (d - 2).cast("string"))
          .otherwise(d.cast("string")).alias("post_id"),
-        F.when(d % 40 != 19, whole).alias("post_text"),
+        F.when(F.col("alone") == 0, F.concat(_pick(PHRASES, k), F.lit(" "), F.col("text")))
+         .when(F.col("doc_id") % 40 != 19, _pick(PHRASES, k)).alias("post_text"),
         F.when(k.isin(*TURKISH), "tr").otherwise(F.col("lang")).alias("language"),
         F.when(d % 7 == 0, "#imdat").alias("hashtags"),
         F.when(d % 5 == 0, "37.06,37.38").alias("coordinates"),
-        F.when(d % 13 != 0, F.timestamp_seconds(F.lit(1675641600) + d * 3600)).alias("posted_at"),
+        F.when(d % 13 != 0, F.timestamp_seconds(F.lit(1675641600) + F.col("doc_id") * 3600)
+               ).alias("posted_at"),
         F.col("source").alias("file"))
 
 
@@ -84,34 +92,38 @@ def _ints(values) -> str:
 
 POSTS_SQL = f"""
 phrase(k, p) AS (VALUES {_numbered(PHRASES)}),
+numbered AS (
+    SELECT *, 2 * doc_id + alone AS seq
+    FROM documents JOIN phrase ON k = doc_id % 20, (VALUES (0), (1)) a(alone)
+    WHERE alone = 0 OR k IN ({_ints(ALONE)})),
 posts AS (
-    SELECT doc_id AS seq,
-        CASE WHEN doc_id % 11 = 0 THEN '' WHEN doc_id % 10 = 3 THEN CAST(doc_id - 2 AS VARCHAR)
-             ELSE CAST(doc_id AS VARCHAR) END AS post_id,
-        CASE WHEN doc_id % 40 = 19 THEN NULL WHEN k IN ({_ints(ALONE)}) THEN p
-             ELSE p || ' ' || text END AS post_text,
+    SELECT seq,
+        CASE WHEN seq % 11 = 0 THEN '' WHEN seq % 10 = 3 THEN CAST(seq - 2 AS VARCHAR)
+             ELSE CAST(seq AS VARCHAR) END AS post_id,
+        CASE WHEN alone = 0 THEN p || ' ' || text WHEN doc_id % 40 <> 19 THEN p END AS post_text,
         CASE WHEN k IN ({_ints(TURKISH)}) THEN 'tr' ELSE lang END AS language,
-        CASE WHEN doc_id % 7 = 0 THEN '#imdat' END AS hashtags,
-        CASE WHEN doc_id % 5 = 0 THEN '37.06,37.38' END AS coordinates,
-        CASE WHEN doc_id % 13 <> 0
+        CASE WHEN seq % 7 = 0 THEN '#imdat' END AS hashtags,
+        CASE WHEN seq % 5 = 0 THEN '37.06,37.38' END AS coordinates,
+        CASE WHEN seq % 13 <> 0
              THEN TIMESTAMP '2023-02-06 00:00:00' + to_hours(doc_id) END AS posted_at,
         source AS file
-    FROM documents JOIN phrase ON k = doc_id % 20
+    FROM numbered
 )"""
 
 # --- model answers -----------------------------------------------------------------
 
 _PLACE = ('{"country":"Turkey","province":"Hatay","district":null,"neighborhood":null,'
-          '"address_note":null,"geo_confidence":0.6}')
+          '"address_note":^,"geo_confidence":0.6}')
 _NOWHERE = ('{"country":null,"province":null,"district":null,"neighborhood":null,'
-            '"address_note":null,"geo_confidence":0.4}')
+            '"address_note":^,"geo_confidence":0.4}')
 _GOOD = ('{"needs":["water","food"],"urgency":"high","life_threatening":false,"location":'
          + _PLACE + ',"people_count":#,"vulnerable_groups":["child"],'
          '"post_type":"help_request","confidence":0.7}')
-#: answer form = doc_id % 14; # is the document number, ~ the whole document text
+#: answer form = doc_id % 14; # is the document number, ~ the whole document text, ^ the same
+#: as a JSON string
 ANSWERS = [
     _GOOD,
-    "Here it is: " + _GOOD + "\n~",
+    "Here it is: " + _GOOD + "\nThat is all.",
     "I cannot help with that. ~",
     "} odd ~ {",
     _GOOD[:-1] + ",}",
@@ -120,28 +132,38 @@ ANSWERS = [
     _GOOD.replace('"urgency":"high",', ""),
     _GOOD[:-1] + ',"note":"x"}',
     _GOOD.replace('"high"', '"soon"').replace('0.7}', '1.4}'),
-    _GOOD.replace(_PLACE, "null"),
+    _GOOD.replace(_PLACE, "null") + " ~",
     _GOOD.replace(_PLACE, _NOWHERE).replace('["water","food"]', "[]")
          .replace("help_request", "emotion/prayer").replace("false", "true"),
     _GOOD.replace('["child"]', '["child","cat"]').replace("#", '"three"'),
-    '{"needs":["tents"],"post_type":"complaint","dedup_cluster_id":"c#"}',
+    '{"needs":["tents"],"post_type":"complaint","dedup_cluster_id":"c#"} ~',
 ]
 
 
+def _as_json(text: str) -> Column:
+    """A text as a JSON string: an array of one string without its brackets."""
+    listed = F.to_json(F.array(text))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model answers in good and broken forms."""
     d = F.col("doc_id")
     numbered = F.replace(_pick(ANSWERS, d % 14), F.lit("#"), d.cast("string"))
+    # a form has one of the two marks
     return table(spark, sf_dir, "documents").select(
         d.alias("answer_id"), F.col("source").alias("model"),
-        F.replace(numbered, F.lit("~"), F.col("text")).alias("raw_text"))
+        F.when(F.contains(numbered, F.lit("^")), F.replace(numbered, F.lit("^"), _as_json("text")))
+         .otherwise(F.replace(numbered, F.lit("~"), F.col("text"))).alias("raw_text"))
 
 
 ANSWERS_SQL = f"""
 form(k, f) AS (VALUES {_numbered(ANSWERS)}),
 answers AS (
     SELECT doc_id AS answer_id, source AS model,
-        replace(replace(f, '#', CAST(doc_id AS VARCHAR)), '~', text) AS raw_text
+        CASE WHEN contains(f, '^') THEN replace(replace(f, '#', CAST(doc_id AS VARCHAR)),
+            '^', CAST(to_json(text) AS VARCHAR))
+        ELSE replace(replace(f, '#', CAST(doc_id AS VARCHAR)), '~', text) END AS raw_text
     FROM documents JOIN form ON k = doc_id % 14
 )"""
 
@@ -157,7 +179,8 @@ def _turn(role: str, content: str) -> str:
 
 
 _SYSTEM, _USER, _ANSWER = _turn("system", '"s"'), _turn("user", "~"), _turn("assistant", '"{}"')
-#: example form = doc_id % 12; ~ is the document text as a JSON string
+#: example form = doc_id % 12; ~ is the document text as a JSON string. The last form makes
+#: a second attempt that is empty.
 EXAMPLES = [
     _example(_SYSTEM, _USER, _ANSWER),
     _example(_SYSTEM, _USER, _ANSWER, extra=',"note":1'),
@@ -165,30 +188,30 @@ EXAMPLES = [
     _example(_USER, _USER, _ANSWER),
     '{"messages":"~"}'.replace('"~"', "~"),
     "[" + _example(_SYSTEM, _USER, _ANSWER) + "]",
-    "",
-    _example(_SYSTEM, _turn("user", "5"), _ANSWER),
+    "~",
+    _example(_turn("system", "~"), _turn("user", "5"), _ANSWER),
     "not json ~",
     _example(_SYSTEM, _USER, _ANSWER),
-    _example(_SYSTEM, _turn("user", '"the same post"'), _ANSWER),
-    '{"other":[]}',
+    _example(_turn("system", "~"), _turn("user", '"the same post"'), _ANSWER),
+    '{"other":[~]}',
 ]
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generation attempts, numbered from one."""
     d = F.col("doc_id")
-    # an array of one string gives the quoted text inside its brackets
-    listed = F.to_json(F.array("text"))
-    as_json = F.substring(listed, F.lit(2), F.length(listed) - 2)
-    return table(spark, sf_dir, "documents").select(
-        (d + 1).alias("attempt"),
-        F.replace(_pick(EXAMPLES, d % 12), F.lit("~"), as_json).alias("raw"))
+    empty = F.explode(F.when(d % 12 == 11, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    filled = F.replace(_pick(EXAMPLES, d % 12), F.lit("~"), _as_json("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text", empty.alias("empty")).select(
+        (2 * d + F.col("empty") + 1).alias("attempt"),
+        F.when(F.col("empty") == 0, filled).otherwise("").alias("raw"))
 
 
 ATTEMPTS_SQL = f"""
 form(k, f) AS (VALUES {_numbered(EXAMPLES)}),
 attempts AS (
-    SELECT doc_id + 1 AS attempt,
-        replace(f, '~', CAST(to_json(text) AS VARCHAR)) AS raw
-    FROM documents JOIN form ON k = doc_id % 12
+    SELECT 2 * doc_id + nothing + 1 AS attempt,
+        CASE WHEN nothing = 0 THEN replace(f, '~', CAST(to_json(text) AS VARCHAR)) ELSE '' END AS raw
+    FROM documents JOIN form ON k = doc_id % 12, (VALUES (0), (1)) e(nothing)
+    WHERE nothing = 0 OR k = 11
 )"""

@@ -34,7 +34,8 @@ PHONE = rf"\p{{Nd}}{{3}}[{regex.SPACE}.\-]?\p{{Nd}}{{3}}[{regex.SPACE}.\-]?\p{{N
 _SEPARATOR = (rf"(?:[{regex.SPACE}]*+,|[{regex.SPACE}&&[^ ]]*+ )[{regex.SPACE}]*+")
 COORDINATES = rf"\p{{Nd}}\.\p{{Nd}}++{_SEPARATOR}[-+]?\p{{Nd}}{{1,3}}\.\p{{Nd}}"
 RETWEET = rf"^[{regex.SPACE}]*+rt[{regex.SPACE}]++@"
-URL = rf"https?://[^{regex.SPACE}]"
+# the whole token: a second address inside it is part of the first
+URL = rf"https?://[^{regex.SPACE}]++"
 
 #: names of the helper columns added by :func:`with_signals`
 FOLDED, PHRASES = "_folded", "_phrases"

@@ -207,14 +207,24 @@ def with_norm_text(df: DataFrame, text_col: str, name: str) -> DataFrame:
     return df.drop("_blanks")
 
 
-def with_cluster_id(df: DataFrame, text_col: str, name: str = "cluster_id") -> DataFrame:
-    """Near-copy cluster: first 12 hex digits of the SHA-1 of the fingerprint text.
+def with_cluster_digest(df: DataFrame, text_col: str, name: str) -> DataFrame:
+    """Near-copy cluster: SHA-1 (40 hex digits) of the fingerprint text.
 
     The fingerprint is what near copies share: lower case, single blanks, digits masked.
     """
     df = evaluate_once(df, "_lowered", collapse_spaces(F.lower(strip(text_col))))
     masked = F.regexp_replace(nfkc("_lowered"), r"\p{Nd}++", "<num>")
-    return df.withColumn(name, F.substring(F.sha1(masked), 1, 12)).drop("_lowered")
+    return df.withColumn(name, F.sha1(masked)).drop("_lowered")
+
+
+def cluster_label(digest: Column | str) -> Column:
+    """The published id of a cluster: 12 digits, too few to tell billions of clusters apart."""
+    return F.substring(digest, 1, 12)
+
+
+def with_cluster_id(df: DataFrame, text_col: str, name: str = "cluster_id") -> DataFrame:
+    """The published id; to group or split use the whole digest."""
+    return with_cluster_digest(df, text_col, name).withColumn(name, cluster_label(name))
 
 
 # --- assorted ---------------------------------------------------------------

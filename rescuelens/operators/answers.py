@@ -14,8 +14,8 @@ from rescuelens import lexicons as lx
 from rescuelens.functions import text
 from rescuelens.operators.labels import LABEL_DDL
 
-NO_OBJECT = "No JSON object boundaries found in text."
-BAD_JSON = "Invalid JSON."
+NO_OBJECT = "no_object"
+BAD_JSON = "bad_json"
 
 _ENVELOPE = "_answer"
 

@@ -24,10 +24,15 @@ def text_key(c: Column | str) -> Column:
     return text.fold(text.strip(text.collapse_spaces(F.coalesce(column, F.lit("")))))
 
 
+def digest(key: Column) -> Column:
+    """What is shuffled, sorted and joined in place of a key that may be a whole text."""
+    return F.sha2(key, 256)
+
+
 def first_per_key(df: DataFrame, key: Column, order: Sequence[Column | str]) -> DataFrame:
     """The first row of every key in the given order."""
     window = Window.partitionBy("_key").orderBy(*order)
-    return (df.withColumn("_key", key)
+    return (df.withColumn("_key", digest(key))
               .withColumn("_rank", F.row_number().over(window))
               .filter("_rank = 1")
               .drop("_key", "_rank"))

@@ -214,20 +214,20 @@ LABEL_DDL = """
 def label_posts(df: DataFrame, text_col: str, keep: list[str] | None = None) -> DataFrame:
     """One training pair per post: ``user`` text and the ``assistant`` label struct.
 
-    ``keep`` names columns to carry along; the cluster id is added as a column of its
+    ``keep`` names columns to carry along; the cluster digest is added as a column of its
     own for splitting (the sink drops it).
     """
     df = with_cues(df, text_col)
-    df = text.with_cluster_id(df, CLEAN, "_cluster_id")
+    df = text.with_cluster_digest(df, CLEAN, "_cluster")
     df = with_location(df)
     label = F.struct(
         needs().alias("needs"), urgency().alias("urgency"),
         life_threatening().alias("life_threatening"), F.col("location"),
         people_count().alias("people_count"),
         vulnerable_groups().alias("vulnerable_groups"), post_type().alias("post_type"),
-        confidence().alias("confidence"), F.col("_cluster_id").alias("dedup_cluster_id"))
+        confidence().alias("confidence"), text.cluster_label("_cluster").alias("dedup_cluster_id"))
     return df.select(*(keep or []), F.col(CLEAN).alias("user"), label.alias("assistant"),
-                     "_cluster_id")
+                     "_cluster")
 
 
 def map_records(df: DataFrame, labeller, schema: str) -> DataFrame:

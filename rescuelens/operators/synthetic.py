@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rescuelens import lexicons as lx
 from rescuelens.functions import text
 from rescuelens.operators import dedup
 
@@ -46,27 +45,32 @@ def validated(df: DataFrame, raw_col: str) -> DataFrame:
     }).drop("_parsed", "_kind")
 
 
-def accept(df: DataFrame, attempt_col: str, raw_col: str, target: int = lx.SYNTHETIC_TARGET,
-           attempts_per_sample: int = lx.ATTEMPTS_PER_SAMPLE) -> DataFrame:
-    """First ``target`` acceptable examples with a new user text, in attempt order.
+def accept(df: DataFrame, attempt_col: str, raw_col: str, target: int | None = None,
+           attempts_per_sample: int | None = None) -> DataFrame:
+    """Acceptable examples with a new user text, first attempt first.
 
-    Attempts are numbered from one; those past ``target * attempts_per_sample`` were
-    never made. The final order is a top-k, not a sort of the table.
+    Over a table nothing is left out. A run that pays for each attempt stops at ``target``
+    examples, or at ``attempts_per_sample`` times as many attempts (numbered from one); with a
+    target the result is a top-k in attempt order, not a sort of the table.
     """
-    made = df.filter(F.col(attempt_col) <= target * attempts_per_sample)
+    made = _made(df, attempt_col, target, attempts_per_sample)
     good = validated(made, raw_col).filter(F.col("reason").isNull())
-    unique = dedup.first_per_key(good, F.col("user_content"), [attempt_col])
-    return unique.orderBy(attempt_col).limit(target).drop("reason")
+    unique = dedup.first_per_key(good, F.sha2(F.col("user_content"), 256), [attempt_col]).drop("reason")
+    return unique if target is None else unique.orderBy(attempt_col).limit(target)
 
 
-def attempt_totals(df: DataFrame, attempt_col: str, raw_col: str,
-                   target: int = lx.SYNTHETIC_TARGET,
-                   attempts_per_sample: int = lx.ATTEMPTS_PER_SAMPLE) -> DataFrame:
+def _made(df: DataFrame, attempt_col: str, target: int | None, attempts_per_sample: int | None) -> DataFrame:
+    if target is None or attempts_per_sample is None:
+        return df
+    return df.filter(F.col(attempt_col) <= target * attempts_per_sample)
+
+
+def attempt_totals(df: DataFrame, attempt_col: str, raw_col: str, target: int | None = None,
+                   attempts_per_sample: int | None = None) -> DataFrame:
     """Accepted examples, and the calls spent until the target or the cap was reached."""
     accepted = accept(df, attempt_col, raw_col, target, attempts_per_sample).agg(
         F.count("*").alias("accepted"), F.max(attempt_col).alias("_last"))
-    cap = target * attempts_per_sample
-    made = df.filter(F.col(attempt_col) <= cap).agg(F.count("*").alias("_made"))
+    made = _made(df, attempt_col, target, attempts_per_sample).agg(F.count("*").alias("_made"))
+    reached = F.lit(False) if target is None else F.col("accepted") == target
     return accepted.withColumn("_made", made.scalar()).select(
-        "accepted", F.when(F.col("accepted") == target, F.col("_last"))
-        .otherwise(F.col("_made")).alias("calls"))
+        "accepted", F.when(reached, F.col("_last")).otherwise(F.col("_made")).alias("calls"))

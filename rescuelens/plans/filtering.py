@@ -92,4 +92,30 @@ def run_filter(spark: SparkSession, corpus: Corpus, path, output: str, mode: str
     # the listing says file:/x where the scan says file:///x
     named = lambda df: df.withColumn("_path", F.array_join(
         F.filter("_path", lambda part: part != ""), "/"))
-    return funnel.run_totals(funnel.kept_per_file(named(files), named(kept), "_path"))
+    totals = funnel.run_totals(funnel.kept_per_file(named(files), named(kept), "_path"))
+    # one row; the staging table has served its purpose
+    result = spark.createDataFrame(totals.collect(), totals.schema)
+    session.remove(spark, staging)
+    return result
+
+
+def run_tagged_filter(spark: SparkSession, path, output: str, start=None, end=None) -> DataFrame:
+    """Filter the tagged corpus from CSV into CSV; returns rows read, after language, after
+    time, and kept.
+
+    The kept rows are staged like those of :func:`run_filter`.
+    """
+    posts = readers.read_tagged_posts(spark, path, order=True)
+    date = "date" if "date" in posts.columns else None
+    counts = funnel.stage_counts(posts, {
+        "after_language": masks.in_languages("language"),
+        "after_time": masks.in_window(date, start, end)})
+    kept = tagged_help_posts(posts, readers.SCAN_ORDER, start, end)
+    staging = session.fresh_path(spark, "kept")
+    kept.write.parquet(staging)
+    kept = spark.read.schema(kept.schema).parquet(staging)
+    writers.write_csv(kept.drop(*readers.SCAN_ORDER), output)
+    counts = counts.withColumn("kept", F.lit(kept.count()))
+    result = spark.createDataFrame(counts.collect(), counts.schema)
+    session.remove(spark, staging)
+    return result

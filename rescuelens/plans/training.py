@@ -15,7 +15,9 @@ def training_pairs(df: DataFrame, text_col: str | None = None, max_rows: int | N
     """Pairs of post and label. ``max_rows`` takes the first rows in the given order."""
     text_col = columns.text_column(df, text_col)
     if max_rows is not None:
-        df = (df.orderBy(*order) if order else df).limit(max_rows)
+        if not order:
+            raise ValueError("the first rows need an order")
+        df = df.orderBy(*order).limit(max_rows)
     return labels.label_posts(df, text_col)
 
 
@@ -35,8 +37,9 @@ def write_training_pairs(pairs: DataFrame, output: str, train: float = 1.0, val:
     staging = session.fresh_path(spark, "pairs")
     pairs.write.parquet(staging)
     staged = spark.read.schema(pairs.schema).parquet(staging)
-    writers.write_pairs(splits.cluster_split(staged, "_cluster_id", train, val, test, seed),
+    writers.write_pairs(splits.cluster_split(staged, "_cluster", train, val, test, seed),
                         output, "split")
+    session.remove(spark, staging)
     return splits.split_sizes(spark.read.schema("user string, split string").json(output))
 
 

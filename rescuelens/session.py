@@ -46,6 +46,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Deletes intermediate tables that no later step reads."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

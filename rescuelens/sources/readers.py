@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rescuelens import lexicons as lx
+from rescuelens import session
 from rescuelens.operators.labels import LABEL_DDL
 from rescuelens.sources import columns
 
@@ -26,18 +27,6 @@ SCAN_ORDER = ("_path", "_block", "_row")
 PAIR_DDL = f"user string, assistant struct<{LABEL_DDL.replace(chr(10), ' ')}>"
 CHAT_DDL = "messages array<struct<role: string, content: string>>"
 
-_BROKEN = "_broken_line"
-# The parser only sees that a line is too long if it parses all of its fields, so it must
-# not skip the unused ones. The header check needs them as well.
-_TOLERANT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN,
-             "columnPruning": "false"}
-
-
-def _has_data_column(c: str) -> Column:
-    """Always true. Spark refuses a scan of the broken-line column alone, as a mere row
-    count would be; this makes such a scan read one data column too."""
-    return F.coalesce(F.col(c), F.lit("")) != "\ufdd0"
-
 
 def list_files(spark: SparkSession, path: str | Sequence[str], glob: str = "*",
                recursive: bool = False) -> DataFrame:
@@ -62,60 +51,75 @@ def path_order(path: Column) -> Column:
     return F.split(plain, "/")
 
 
-def _not_too_long(line: Column, sep: str, fields: int) -> Column:
-    """Keep lines that fit, and broken ones with too few fields (their cells are in place).
+def _null_cells(c: str) -> Column:
+    return F.when(~F.col(c).isin("", *lx.NULL_CELLS), F.col(c)).alias(c)
 
-    Quoted stretches are taken out before the separators of a broken line are counted.
-    """
-    if sep == ",":
-        line = F.regexp_replace(line, '"(?:[^"]|"")*+"', "")
-    return line.isNull() | (F.size(F.split(line, sep)) <= fields)
 
+def _first_rows(rows: DataFrame) -> DataFrame:
+    """First row of every file (``_file``, ``_first``), written once to the shared folder."""
+    first = rows.groupBy("_file").agg(F.min_by(F.struct("_cells", "_row"), "_row").alias("r"))
+    path = session.fresh_path(rows.sparkSession, "headers")
+    first.select("_file", F.col("r._cells").alias("_first"), F.col("r._row").alias("_first_row")
+                 ).write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
-def _null_cells(c: str) -> Column:
-    return F.when(~F.col(c).isin("", *lx.NULL_CELLS), F.col(c)).alias(c)
 
+def _by_header(rows: DataFrame, wanted: Sequence[str] | None, required: Sequence[str],
+               skip_long: bool, order: bool) -> DataFrame:
+    """Columns of rows of cells, each file by its own header.
+
+    Files may hold the columns in any order; one that a file lacks is null there. Every file
+    needs the required ones. Missing cells are null, cells beyond the header are ignored, or
+    their rows skipped. The names come to the driver, not the files.
+    """
+    blank = F.lit(" \t\r\n\ufeff")
+    heads = _first_rows(rows.filter(F.col("_block") == 0)).withColumn(
+        "_names", F.transform("_first", lambda c: F.btrim(F.coalesce(c, F.lit("")), blank)))
+    counts = heads.select("_file", F.explode(F.array_distinct("_names")).alias("name")).groupBy(
+        "name").agg(F.count("*").alias("files"), F.min("_file").alias("_file"))
+    found = {r.name: r.files for r in counts.orderBy("_file", "name").collect() if r.name}
+    files = heads.count()
+    columns.require([n for n in found if found[n] == files], required)
+    if wanted is None:
+        # order of the columns: as in the first file, then what other files add
+        top = heads.orderBy("_file").first()
+        wanted = list(dict.fromkeys([*(n for n in (top._names if top else []) if n), *found]))
+    keep = columns.present(found, wanted)
+    joined = rows.join(heads.select("_file", "_names", "_first_row"), "_file").filter(
+        F.col("_row") != F.col("_first_row"))
+    if skip_long:
+        joined = joined.filter(F.size("_cells") <= F.size("_names"))
+    picked = [F.get("_cells", F.array_position("_names", c).cast("int") - 1) for c in keep]
+    # a position of 0 means that the file lacks the column
+    picked = [F.when(F.array_position("_names", c) > 0, p).alias(c) for c, p in zip(keep, picked)]
+    df = joined.select(*picked, path_order(F.col("_file")).alias("_path"), "_block", "_row")
+    return df.select(*map(_null_cells, keep), *(SCAN_ORDER if order else ()))
 
-def _with_scan_order(df: DataFrame) -> DataFrame:
-    """Row order within the input. The row number only has to grow inside a block."""
-    return df.select(
-        "*", path_order(F.col("_metadata.file_path")).alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"))
+
+def _with_place(df: DataFrame, cells: Column) -> DataFrame:
+    """File, block and row number next to the cells. Numbers only have to grow in a block."""
+    return df.select(cells.alias("_cells"), F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_row"))
 
 
 def read_tsv(spark: SparkSession, path: str | Sequence[str], wanted: Sequence[str],
              required: Sequence[str], recursive: bool = False,
              types: dict[str, str] | None = None, order: bool = False) -> DataFrame:
-    """Scan ``*.tsv`` files with a header and no quoting.
+    """Scan ``*.tsv`` files with a header each and no quoting.
 
-    A stray quote is an ordinary character. Lines with too many fields are skipped,
-    short ones padded with null; blank lines do not count. All files need the same
-    header: Spark checks every one of them while reading and fails on a difference
-    (read such files apart and join them with :func:`append_all`). ``order`` adds the
-    columns of ``SCAN_ORDER``.
+    A stray quote is an ordinary character. Extra fields are ignored, missing ones null,
+    blank lines do not count. ``order`` adds the columns of ``SCAN_ORDER``.
     """
-    files = list_files(spark, path, "*.tsv", recursive)
-    first = unquote(min(files.inputFiles()))
-    line = spark.read.text(first).first()
-    header = line[0].lstrip("﻿").split("\t") if line else []
-    names = columns.clean_names(header)
-    columns.require(names, required)
-    raw = T.StructType([T.StructField(h, T.StringType()) for h in header]
-                       + [T.StructField(_BROKEN, T.StringType())])
-    df = (spark.read.schema(raw).option("sep", "\t").option("quote", "")
-          .option("header", "true").option("enforceSchema", "false")
-          .options(**_TOLERANT)
-          .option("pathGlobFilter", "*.tsv").option("recursiveFileLookup", str(recursive).lower())
-          .csv(path if isinstance(path, str) else list(path)))
-    if order:
-        df = _with_scan_order(df)
-    fits = _not_too_long(F.col(_BROKEN), "\t", len(names)) & _has_data_column(header[0])
-    df = df.filter(fits).withColumnsRenamed(dict(zip(header, names)))
-    keep = columns.present(names, wanted)
-    df = df.select(*map(_null_cells, keep), *(SCAN_ORDER if order else ()))
+    list_files(spark, path, "*.tsv", recursive)
+    lines = (spark.read.option("pathGlobFilter", "*.tsv")
+             .option("recursiveFileLookup", str(recursive).lower())
+             .text(path if isinstance(path, str) else list(path)))
+    rows = _with_place(lines, F.split("value", "\t", -1)).filter(
+        (F.size("_cells") > 1) | (F.get("_cells", F.lit(0)) != ""))
+    df = _by_header(rows, wanted, required, False, order)
     for c, t in (types or {}).items():
-        if c in keep:
+        if c in df.columns:
             df = df.withColumn(c, F.col(c).try_cast(t))
     return df
 
@@ -133,26 +137,32 @@ def read_crisis_posts(spark: SparkSession, folder, order: bool = False) -> DataF
 
 def read_csv(spark: SparkSession, path, wanted: Sequence[str] | None = None,
              required: Sequence[str] = (), encoding: str = "UTF-8",
-             order: bool = False) -> DataFrame:
-    """Scan CSV with a header and standard quoting; values may span lines.
+             order: bool = False, skip_long: bool = False, multi_line: bool = True) -> DataFrame:
+    """Scan CSV files with a header each and standard quoting.
 
-    Multi-line values make a file indivisible: hand over many files, or stage the table
-    as Parquet once. Lines with too many fields are skipped, short ones padded.
+    Values may span lines unless ``multi_line`` is off; they make a file indivisible, so hand
+    over many files, or stage the table as Parquet once. Missing fields are null; rows with too
+    many are cut to the header, or skipped.
     """
-    options = dict(header="true", multiLine="true", escape='"', encoding=encoding)
-    # column names come from the header alone: the one-row schema probe reads one record
-    header = spark.read.options(**options).csv(path).columns
-    names = columns.clean_names(header)
-    columns.require(names, required)
-    raw = T.StructType([T.StructField(h, T.StringType()) for h in header]
-                       + [T.StructField(_BROKEN, T.StringType())])
-    df = (spark.read.schema(raw).options(**options, **_TOLERANT).csv(path))
-    if order:
-        df = _with_scan_order(df)
-    fits = _not_too_long(F.col(_BROKEN), ",", len(names)) & _has_data_column(header[0])
-    df = df.filter(fits).withColumnsRenamed(dict(zip(header, names)))
-    keep = columns.present(names, wanted) if wanted else names
-    return df.select(*map(_null_cells, keep), *(SCAN_ORDER if order else ()))
+    width = _widest(spark, path, encoding)
+    # an absent cell is null, an empty one is not; one more column tells too long rows
+    raw = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(width + 1)])
+    df = (spark.read.schema(raw).options(
+        header="false", multiLine=str(multi_line).lower(), escape='"', encoding=encoding,
+        nullValue="\ufdd0", emptyValue="", mode="PERMISSIVE")
+        .csv(path))
+    cells = F.array(*[F.col(c) for c in raw.names])
+    last = F.array_max(F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1)))
+    rows = _with_place(df, F.slice(cells, F.lit(1), F.coalesce(last, F.lit(0)))).filter(
+        F.size("_cells") > 0)
+    return _by_header(rows, wanted, required, skip_long, order)
+
+
+def _widest(spark: SparkSession, path, encoding: str) -> int:
+    """Most fields that the first line of a file can hold."""
+    lines = _with_place(spark.read.option("encoding", encoding).text(path), F.split("value", ",", -1))
+    widest = _first_rows(lines.filter(F.col("_block") == 0)).agg(F.max(F.size("_first"))).first()[0]
+    return widest or 1
 
 
 def read_tagged_posts(spark: SparkSession, path, order: bool = False) -> DataFrame:
@@ -163,8 +173,25 @@ def read_tagged_posts(spark: SparkSession, path, order: bool = False) -> DataFra
     return df
 
 
+#: date forms tried in turn, after the ISO ones; times without a zone are UTC
+DATE_FORMS = ("EEE MMM dd HH:mm:ss Z yyyy", "EEE, d MMM yyyy HH:mm:ss Z", "EEE, d MMM yyyy HH:mm:ss z",
+              "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyyMMdd", "yyyyMMdd HHmmss",
+              "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm", "yyyy/M/d", "MMM d, yyyy H:mm:ss", "MMM d, yyyy",
+              "MMMM d, yyyy", "d MMM yyyy H:mm:ss", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy")
+
+
 def parse_date(c: Column) -> Column:
-    return F.try_to_timestamp(c)
+    """Timestamp of a date in an ISO form or one of ``DATE_FORMS``; null if there is none.
+
+    The day of the week is not checked against the date: it is cut off first. In forms with
+    slashes the month comes first.
+    """
+    text = F.btrim(F.regexp_replace(c, r"\s+", " "))
+    # eight digits are a date, not a year
+    iso = F.when(~text.rlike("^[0-9]{5,}( |$)"), F.try_to_timestamp(text))
+    plain = F.regexp_replace(text, "^(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? ", "")
+    forms = [f.removeprefix("EEE, ").removeprefix("EEE ") for f in DATE_FORMS]
+    return F.coalesce(iso, *[F.try_to_timestamp(plain, F.lit(f)) for f in forms])
 
 
 def file_encodings(spark: SparkSession, path) -> DataFrame:

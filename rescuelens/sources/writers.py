@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,31 @@ def write_tsv(df: DataFrame, path: str, *folders: str) -> None:
        .option("extension", "tsv").csv(path))
 
 
+def write_json_array(df: DataFrame, path: str, indent: bool = False) -> None:
+    """Parts that each hold one JSON array, null fields included; indented by two if wished.
+
+    A part is one task's rows, record by record, so its size follows the input splits and no
+    row is held back.
+    """
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false", "pretty": str(indent).lower()})
+
+    def framed(frames):
+        # brackets and commas around the records of one task
+        first = True
+        for frame in frames:
+            if len(frame):
+                values = frame["value"].copy()
+                values.iloc[0] = ("[" if first else ",") + values.iloc[0]
+                values.iloc[1:] = "," + values.iloc[1:]
+                first = False
+                yield values.to_frame()
+        yield pd.DataFrame({"value": ["[]" if first else "]"]})
+
+    # a task that ends with nothing writes an empty array; the reader skips it
+    df.select(record.alias("value")).mapInPandas(framed, "value string").write.mode(
+        "overwrite").option("extension", "json").text(path)
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     """One record per line, null fields included, other scripts unescaped."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
@@ -39,7 +65,7 @@ def write_pairs(df: DataFrame, path: str, split_col: str | None = None) -> None:
 
     With a split column, one folder ``split=...`` per set.
     """
-    writer = (df.drop("_cluster_id").write.mode("overwrite")
+    writer = (df.drop("_cluster").write.mode("overwrite")
               .option("ignoreNullFields", "false"))
     if split_col is not None:
         writer = writer.partitionBy(split_col)

@@ -34,7 +34,7 @@ def help_stream(posts: DataFrame, text_col: str, rules: sg.SignalRules = sg.EVEN
 def distinct_posts(posts: DataFrame, key: Column, date_col: str | None = None,
                    delay: str = "1 day") -> DataFrame:
     """First post to arrive per key."""
-    keyed = posts.withColumn("_key", key)
+    keyed = posts.withColumn("_key", dedup.digest(key))
     if date_col is None:
         return keyed.dropDuplicates(["_key"]).drop("_key")
     return (keyed.withWatermark(date_col, delay)
@@ -49,7 +49,7 @@ def append_batch(path: str, key: Column, order: Sequence[str]
     failure leaves no second copy.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        first = dedup.first_per_key(batch, key, order).withColumn("_key", key)
+        first = dedup.first_per_key(batch, key, order).withColumn("_key", dedup.digest(key))
         known = _earlier_keys(batch, path, batch_id)
         if known is not None:
             first = dedup.drop_known(first, known, "_key")

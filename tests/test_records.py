@@ -123,9 +123,9 @@ def test_accept_matches_brute_force(spark, target):
     raws = [example(user=f"u{i % 5}") if i % 3 else "bad" for i in range(40)]
     df = spark.createDataFrame([(i + 1, r) for i, r in enumerate(raws)], "n bigint, raw string")
     contents, calls = brute_accept(raws, target)
-    got = synthetic.accept(df, "n", "raw", target).orderBy("n").collect()
+    got = synthetic.accept(df, "n", "raw", target, lx.ATTEMPTS_PER_SAMPLE).orderBy("n").collect()
     assert [r.user_content for r in got] == contents
-    totals = synthetic.attempt_totals(df, "n", "raw", target).first()
+    totals = synthetic.attempt_totals(df, "n", "raw", target, lx.ATTEMPTS_PER_SAMPLE).first()
     assert (totals.accepted, totals.calls) == (len(contents), calls)
 
 

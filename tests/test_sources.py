@@ -31,11 +31,11 @@ def test_tsv_rows_and_order(spark, folder):
     folder("b c/notes.txt", "ignored")
     df = readers.read_event_posts(spark, root, order=True)
     rows = [tuple(r)[:3] for r in df.orderBy(*readers.SCAN_ORDER).collect()]
-    assert rows == [("1", 'hello "x', "l"), ("2", "short", None), (None, "blank id", "c"),
+    assert rows == [("1", 'hello "x', "l"), ("2", "short", None), ("3", "a", "b"), (None, "blank id", "c"),
                     ("4", None, "z"), ('"q"', '"w"', None), ("5", "five", "l"), ("6", "six", "l")]
-    # the long line stays out whatever columns are asked for
-    assert df.count() == 7
-    assert df.filter("tweet_id = '3'").count() == 0
+    # the long line is cut to the header, whatever columns are asked for
+    assert df.count() == 8
+    assert df.filter("tweet_id = '3'").count() == 1
 
 
 def test_long_ids_keep_their_digits(spark, folder):
@@ -62,11 +62,34 @@ def test_missing_input_and_columns(spark, folder, tmp_path):
         readers.read_event_posts(spark, root)
 
 
-def test_differing_headers_fail(spark, folder):
+def test_every_file_by_its_own_header(spark, folder):
     root = folder("a.tsv", HEAD + "1\tt\tl\n")
-    folder("b.tsv", "tweet_id\tclass_label\ttweet_text \n1\tl\tt\n")
-    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
-        readers.read_event_posts(spark, root).count()
+    folder("b.tsv", "more\ttweet_id\tclass_label\ttweet_text \nx\t2\tk\tu\n")
+    rows = readers.read_event_posts(spark, root).orderBy("tweet_id").collect()
+    assert [tuple(r) for r in rows] == [("1", "t", "l"), ("2", "u", "k")]
+
+
+def test_csv_headers_and_long_rows(spark, folder):
+    root = folder("a.csv", 'content,language\n"hello, ""x""\nmore",en\nlong,tr,extra\nshort\n')
+    folder("b.csv", "language,date,content\nen,2023-02-06 01:17:34,world\n")
+    rows = readers.read_tagged_posts(spark, root).collect()
+    assert sorted((r.content, r.language, r.date is None) for r in rows if r.language) == [
+        ('hello, "x"\nmore', "en", True), ("long", "tr", True), ("world", "en", False)]
+    assert {r.content for r in readers.read_csv(spark, root, skip_long=True).collect()} == {
+        'hello, "x"\nmore', "short", "world"}
+    with pytest.raises(ValueError, match="date"):
+        readers.read_csv(spark, root, required=["date"])
+
+
+def test_date_forms(spark):
+    forms = {"Mon Feb 06 01:17:34 +0000 2023": "2023-02-06 01:17:34", "02/06/2023 01:17": "2023-02-06 01:17:00",
+             "20230206": "2023-02-06 00:00:00", "Feb 6, 2023": "2023-02-06 00:00:00",
+             "2023-02-06 01:17:34+03:00": "2023-02-05 22:17:34",
+             "Mon, 06 Feb 2023 01:17:34 GMT": "2023-02-06 01:17:34", "6 February 2023": "2023-02-06 00:00:00",
+             "nonsense": None, None: None}
+    df = spark.createDataFrame([(k,) for k in forms], "d string")
+    got = df.select("d", F.date_format(readers.parse_date(F.col("d")), "yyyy-MM-dd HH:mm:ss").alias("t"))
+    assert {r.d: r.t for r in got.collect()} == forms
 
 
 CSV = ('date,content,hashtags,language,place\n'
@@ -78,9 +101,10 @@ def test_csv(spark, folder):
     root = folder("p.csv", CSV.format(""))
     rows = [tuple(r) for r in readers.read_tagged_posts(spark, root).select(
         F.date_format("date", "yyyy-MM-dd HH:mm"), "content", "hashtags", "language", "place").collect()]
-    assert rows == [("2023-02-06 01:00", 'Şırnak "yardım"\nçöğ, x', None, "tr", "p"),
-                    (None, "hello", None, "en", None), (None, "one", None, None, None),
-                    ("2023-02-06 01:00", "z", None, "EN", "q")]
+    assert sorted(rows, key=str) == sorted([
+        ("2023-02-06 01:00", 'Şırnak "yardım"\nçöğ, x', None, "tr", "p"),
+        (None, "hello", None, "en", None), (None, "one", None, None, None), (None, "b", "c,d", "d", "e"),
+        ("2023-02-06 01:00", "z", None, "EN", "q")], key=str)
     assert readers.read_tagged_posts(spark, root).columns == [
         "date", "content", "hashtags", "language", "place"]
 
