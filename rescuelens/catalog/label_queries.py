@@ -106,7 +106,9 @@ def correction_requests(spark, sf_dir):
 
 
 def label_translate(spark, sf_dir):
-    return _pairs(spark, sf_dir).select(
+    pairs = labels.label_posts(posts(spark, sf_dir), "post_text", ["seq"],
+                               ("needs", "vulnerable_groups", "post_type"))
+    return pairs.select(
         "seq", answers.translate_label(F.col("assistant")).alias("l")).select(
         "seq", _joined(F.col("l.needs")).alias("needs"),
         _joined(F.col("l.vulnerable_groups")).alias("vulnerable_groups"), "l.post_type")

@@ -9,7 +9,7 @@ from rescuelens.catalog.relations import (ANSWERS_SQL, ATTEMPTS_SQL, answers, at
                                           table)
 from rescuelens.operators import answers as an
 from rescuelens.operators import chat, synthetic
-from rescuelens.plans import training
+from rescuelens.plans import review, training
 
 PROMPT = "You label posts."
 TEMPLATE = "Use this prompt:\n{{SYSTEM_PROMPT}}\nand repeat it: {{SYSTEM_PROMPT}}"
@@ -65,6 +65,13 @@ def label_repair(spark, sf_dir):
     return df.withColumn("l", an.repair_label(F.col("label"))).select("answer_id", *_flat("l"))
 
 
+def review_answers(spark, sf_dir):
+    """Envelope, broken rules and repaired label of every answer in one pass."""
+    found = review.review_answers(answers(spark, sf_dir), "raw_text").withColumnRenamed("label", "l")
+    return found.select("answer_id", "is_json", F.array_join("violations", "|").alias("violations"),
+                        *_flat("l"))
+
+
 def synth_validate(spark, sf_dir):
     return synthetic.validated(attempts(spark, sf_dir), "raw").select(
         "attempt", "reason", "strict", F.md5("user_content").alias("digest"))
@@ -118,7 +125,7 @@ TURN = "<{role}>{content}</{role}>\n"
 QUERIES = {
     "json_extract": json_extract, "answer_envelope": answer_envelope,
     "json_valid_rate": json_valid_rate,
-    "label_violations": _violations(an.RUNTIME),
+    "review_answers": review_answers, "label_violations": _violations(an.RUNTIME),
     "label_violations_corrected": _violations(an.CORRECTED),
     "label_defaults": label_defaults, "label_repair": label_repair,
     "synth_validate": synth_validate, "synth_accept": synth_accept,
@@ -300,3 +307,7 @@ ORACLES = {
         || {_NL} || '<assistant>' || {_strip('assistant_text')} || '</assistant>' || {_NL} AS text
         FROM first""",
 }
+ORACLES["review_answers"] = f"""SELECT v.answer_id, r.answer_id IS NOT NULL AS is_json, v.violations,
+    r.* EXCLUDE (answer_id)
+    FROM ({ORACLES["label_violations"]}) v LEFT JOIN ({ORACLES["label_repair"]}) r
+    ON v.answer_id = r.answer_id"""

@@ -8,6 +8,8 @@ unfolded text, and only in rows where the cue is known to occur.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -211,23 +213,29 @@ LABEL_DDL = """
 """
 
 
-def label_posts(df: DataFrame, text_col: str, keep: list[str] | None = None) -> DataFrame:
+def label_posts(df: DataFrame, text_col: str, keep: list[str] | None = None,
+                fields: Sequence[str] | None = None) -> DataFrame:
     """One training pair per post: ``user`` text and the ``assistant`` label struct.
 
-    ``keep`` names columns to carry along; the cluster digest is added as a column of its
-    own for splitting (the sink drops it).
+    ``keep`` names columns to carry along. ``fields`` names the parts of the label that are
+    wanted; what only others need is not computed. With the cluster id in the label, the whole
+    cluster digest is added as a column of its own for splitting (the sink drops it).
     """
+    makers = {
+        "needs": needs, "urgency": urgency, "life_threatening": life_threatening,
+        "location": lambda: F.col("location"), "people_count": people_count,
+        "vulnerable_groups": vulnerable_groups, "post_type": post_type, "confidence": confidence,
+        "dedup_cluster_id": lambda: text.cluster_label("_cluster")}
+    wanted = [name for name in makers if fields is None or name in fields]
     df = with_cues(df, text_col)
-    df = text.with_cluster_digest(df, CLEAN, "_cluster")
-    df = with_location(df)
-    label = F.struct(
-        needs().alias("needs"), urgency().alias("urgency"),
-        life_threatening().alias("life_threatening"), F.col("location"),
-        people_count().alias("people_count"),
-        vulnerable_groups().alias("vulnerable_groups"), post_type().alias("post_type"),
-        confidence().alias("confidence"), text.cluster_label("_cluster").alias("dedup_cluster_id"))
+    clustered = "dedup_cluster_id" in wanted
+    if clustered:
+        df = text.with_cluster_digest(df, CLEAN, "_cluster")
+    if "location" in wanted:
+        df = with_location(df)
+    label = F.struct(*[makers[name]().alias(name) for name in wanted])
     return df.select(*(keep or []), F.col(CLEAN).alias("user"), label.alias("assistant"),
-                     "_cluster")
+                     *(["_cluster"] if clustered else []))
 
 
 def map_records(df: DataFrame, labeller, schema: str) -> DataFrame:
