@@ -34,6 +34,17 @@ def scan_tsv(spark, sf_dir):
     return df.select("tweet_id", F.md5("tweet_text").alias("digest"), "class_label")
 
 
+def scan_flat(spark, sf_dir):
+    """The TSV files of one folder, with an optional number among the columns."""
+    folder = session.fresh_path(spark, "crisis")
+    writers.write_tsv(posts(spark, sf_dir).select(
+        F.col("seq").cast("string").alias("id"), F.col("post_text").alias("text"), F.col("language").alias("lang"),
+        F.when(F.col("seq") % 3 == 0, "unsure").otherwise((F.col("seq") % 4 / 4).cast("string")).alias("lang_conf"),
+        F.lit("x").alias("other")), folder)
+    return readers.read_crisis_posts(spark, folder).select(
+        "id", F.md5("text").alias("digest"), "lang", "lang_conf")
+
+
 def filter_run(spark, sf_dir):
     """Whole run from TSV folders to CSV, read back: ids and how many posts without one."""
     output = session.fresh_path(spark, "help")
@@ -158,7 +169,7 @@ def sink_roundtrip(spark, sf_dir):
 
 
 QUERIES = {
-    "scan_headers": scan_headers, "scan_dates": scan_dates, "tagged_run": tagged_run,
+    "scan_flat": scan_flat, "scan_headers": scan_headers, "scan_dates": scan_dates, "tagged_run": tagged_run,
     "sink_json_array": sink_json_array, "scan_tsv": scan_tsv, "filter_run": filter_run, "scan_skip_bad": scan_skip_bad,
     "scan_csv": scan_csv, "scan_encoding": scan_encoding, "scan_json_array": scan_json_array,
     "scan_jsonl": scan_jsonl, "sink_roundtrip": sink_roundtrip,
@@ -170,6 +181,9 @@ _FLAT = "translate({}, chr(9) || chr(13) || chr(10), '   ')"
 _PAIRS = label_queries.ORACLES["label_json"]
 
 ORACLES = {
+    "scan_flat": f"""WITH {POSTS_SQL} SELECT CAST(seq AS VARCHAR) AS id,
+        md5(nullif({_FLAT.format('post_text')}, '')) AS digest, language AS lang,
+        CASE WHEN seq % 3 <> 0 THEN (seq % 4) / 4 END::DOUBLE AS lang_conf FROM posts""",
     "scan_tsv": f"""WITH {POSTS_SQL} SELECT nullif(post_id, '') AS tweet_id,
         md5(nullif({_FLAT.format('post_text')}, '')) AS digest,
         CAST(seq AS VARCHAR) AS class_label FROM posts""",

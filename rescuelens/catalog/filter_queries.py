@@ -34,6 +34,13 @@ def signal_flags(spark, sf_dir):
         "seq", *[sg.signal(r, n).alias(n) for n in names], sg.retweet().alias("retweet"))
 
 
+def signal_dash_offers(spark, sf_dir):
+    """Offers with both spellings that the bracketed entry stands for."""
+    rules = sg.with_dash_offers(sg.EVENT_RULES)
+    df = sg.with_signals(posts(spark, sf_dir), "post_text", rules)
+    return df.select("seq", sg.signal(rules, "offer").alias("offer"))
+
+
 def signal_phone(spark, sf_dir):
     return _folded(spark, sf_dir).select("seq", sg.phone().alias("phone"))
 
@@ -158,7 +165,7 @@ def fold_text(spark, sf_dir):
 
 
 QUERIES = {
-    "signal_flags": signal_flags, "signal_phone": signal_phone, "signal_coord": signal_coord,
+    "signal_flags": signal_flags, "signal_dash_offers": signal_dash_offers, "signal_phone": signal_phone, "signal_coord": signal_coord,
     "signal_address": signal_address, "url_guard": url_guard,
     "mask_strict": _mask("strict"), "mask_balanced": _mask(), "mask_recall": _mask("recall"),
     "mask_crisis": _mask(rules=sg.CRISIS_RULES), "mask_kaggle": mask_kaggle,
@@ -206,6 +213,8 @@ per_file AS (SELECT a.file, count(b.n) * coalesce(max(b.n), 0) AS kept
 ORACLES = {
     "signal_flags": _select("seq, sos, flood, need, hazard, first_person, offer, "
                             "location_word, retweet"),
+    "signal_dash_offers": f"""WITH {sql.signals("event")} SELECT seq,
+        {sql.has("f", lx.OFFERS_TR + lx.OFFERS_EN + lx.DROP_OFF_FORMS)} AS offer FROM sig""",
     "signal_phone": _select("seq, phone"),
     "signal_coord": _select("seq, coord AS in_text, "
                             "coalesce(regexp_matches(coordinates, '[0-9]'), false) AS in_column"),
