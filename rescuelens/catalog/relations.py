@@ -21,8 +21,8 @@ PHRASES = [
     "RT @user: stuck on the roof, water rising, we are scared",
     "donation drive, we are collecting: need help, location north hall",
     "earthquake felt downtown, everyone is safe, drop-off at the school",
-    "Enkaz altındayım, konum Hatay Defne mah. ACİL yardım edin",
-    "ÇADIR lazım, 12 kişi, çocuklar var, adres Gaziantep Şahinbey Fidanlık mahallesi, deprem",
+    "Enkaz altındayım, konum Van Erciş mah. ACİL yardım edin",
+    "ÇADIR lazım, 12 kişi, çocuklar var, adres Malatya Battalgazi Fırat mahallesi, deprem",
     "send ambulance 0532 123 4567 https://t.co/abc",
     "stuck i'm https://a.b",
     "su yükseliyor, çatıdayız, biz 5 kişi",

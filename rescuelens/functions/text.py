@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rescuelens import lexicons as lx
 from rescuelens.functions.regex import SPACE
 
 
@@ -201,7 +202,7 @@ def evaluate_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 def with_norm_text(df: DataFrame, text_col: str, name: str) -> DataFrame:
     """Clean text of the labeller: null to empty, odd spaces to blanks, NFKC, stripped."""
-    blanks = F.translate(F.coalesce(F.col(text_col), F.lit("")), "\u200b\u00a0", "  ")
+    blanks = F.translate(F.coalesce(F.col(text_col), F.lit("")), lx.ODD_SPACES, " " * len(lx.ODD_SPACES))
     df = evaluate_once(df, "_blanks", blanks)
     df = evaluate_once(df, name, strip(nfkc("_blanks")))
     return df.drop("_blanks")
@@ -213,7 +214,7 @@ def with_cluster_digest(df: DataFrame, text_col: str, name: str) -> DataFrame:
     The fingerprint is what near copies share: lower case, single blanks, digits masked.
     """
     df = evaluate_once(df, "_lowered", collapse_spaces(F.lower(strip(text_col))))
-    masked = F.regexp_replace(nfkc("_lowered"), r"\p{Nd}++", "<num>")
+    masked = F.regexp_replace(nfkc("_lowered"), r"\p{Nd}++", lx.NUMBER_MARK)
     return df.withColumn(name, F.sha1(masked)).drop("_lowered")
 
 

@@ -171,6 +171,10 @@ COUNTRY = "Turkey"
 # Characters of context kept before and after a province in the address note.
 NOTE_BEFORE, NOTE_AFTER = 40, 60
 
+# Characters that become blanks in the normal form; what stands for digits in a fingerprint.
+ODD_SPACES = "\u200b\u00a0"
+NUMBER_MARK = "<num>"
+
 # --------------------------------------------------------------------------
 # Label vocabularies.
 # --------------------------------------------------------------------------

@@ -20,6 +20,7 @@ from rescuelens.functions.signals import find_phrases, has_any
 #: columns added by :func:`with_cues`
 CLEAN, FOLDED, CUES = "_clean", "_caseless", "_cues"
 
+# Letters of place names, and the patterns of district, address and neighborhood below.
 _UPPER = "A-ZÇĞİIÖŞÜ"
 _LETTER = "A-Za-zÇĞİIÖŞÜçğıiöşü"
 
