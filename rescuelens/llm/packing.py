@@ -5,7 +5,8 @@ tokenised once and ends with id 0; only longer ones are cut. Packing itself move
 but (document, piece, length) rows: they are dealt to groups of about ``group_rows`` pieces
 by a hash, so no group grows with the data, and each group fills its own sequences. In a
 group the next piece, long ones first, goes where the sum of squares of N(g), the number of
-open sequences with residual gap g, becomes smallest; a new sequence counts as a choice.
+open sequences with residual gap g, becomes smallest; a new sequence counts as a choice. At the
+end of a group sequences that are open are emptied into the gaps of others where they fit.
 
 Null and empty texts are one piece that holds id 0. Repeated rows with the same document id
 are packed apart, but their pieces can't be told apart by id. Extra columns are ignored.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import os
 import re
+from bisect import bisect_left, insort
 import unicodedata
 from collections import namedtuple
 from collections.abc import Iterator
@@ -223,13 +225,49 @@ class OpenSequences:
 def place_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset of every piece; long pieces are placed first."""
     sequences = np.zeros(len(lengths), np.int64)
-    offsets = np.zeros(len(lengths), np.int32)
     bins = OpenSequences(capacity)
     for k in np.argsort(-lengths, kind="stable"):
-        sequences[k], offsets[k] = bins.place(int(lengths[k]))
+        sequences[k], _ = bins.place(int(lengths[k]))
+    dissolve(lengths, sequences, capacity)
+    order = np.lexsort((-lengths, sequences))
+    before = np.concatenate([[0], np.cumsum(lengths[order])[:-1]])
+    first = np.concatenate([[True], sequences[order][1:] != sequences[order][:-1]])[:len(order)]
+    offsets = np.zeros(len(lengths), np.int32)
+    offsets[order] = before[:len(order)] - np.repeat(
+        before[:len(order)][first], np.diff(np.append(np.flatnonzero(first), len(order))))
     return sequences, offsets
 
 
+def dissolve(lengths: np.ndarray, sequences: np.ndarray, capacity: int) -> None:
+    """Empties sequences into the gaps of others, best fit, the emptiest first.
+
+    The rule leaves gaps of all sizes open for pieces to come; at the end there are none. A
+    sequence is only emptied if all its pieces find a place.
+    """
+    filled = np.bincount(sequences, lengths).astype(np.int64)
+    members: dict[int, list[int]] = {}
+    for k in np.flatnonzero(filled[sequences] < capacity).tolist():
+        members.setdefault(int(sequences[k]), []).append(k)
+    gaps = sorted((capacity - int(filled[s]), s) for s in members)
+    for sequence in sorted(members, key=lambda s: (filled[s], s)):
+        rest = [g for g in gaps if g[1] != sequence]
+        moves = []
+        for k in sorted(members[sequence], key=lambda k: -lengths[k]):
+            at = bisect_left(rest, (int(lengths[k]), -1))
+            if at == len(rest):
+                break
+            gap, other = rest.pop(at)
+            moves.append((k, other))
+            if gap > lengths[k]:
+                insort(rest, (gap - int(lengths[k]), other))
+        else:
+            for k, other in moves:
+                sequences[k] = other
+                members[other].append(k)
+            members[sequence] = []
+            gaps = rest
+
+
 def place_pieces(pieces: DataFrame, capacity: int = CAPACITY,
                  group_rows: int = GROUP_ROWS) -> DataFrame:
     """Where each piece goes: sequence and offset. Sequence numbers are unique, with gaps."""
