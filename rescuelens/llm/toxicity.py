@@ -42,6 +42,8 @@ LEAST_TOXIC, LEAST_RATIO, LEAST_WORTH = 5, 4, 8
 #: weight of the share of toxic labels in every vote
 PRIOR_WEIGHT = 0.2
 THRESHOLD = 0.7
+#: texts scored by one task
+ROWS_A_TASK = 10_000
 
 _SPLIT = np.frombuffer(_TABLE, np.uint8)
 COUNTED = "doc_id long, row_key long, terms array<int>, counts array<int>"
@@ -293,6 +295,8 @@ def scored(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_EXAMPLES,
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()),
                                               pa.array(evidence, shape)], ["doc_id", "score", "evidence"])
 
-    return counted.select("doc_id", "terms", "counts").mapInArrow(run, SCORES).select(
+    # the counted terms are few, but each row may need a search
+    dealt = counted.select("doc_id", "terms", "counts").repartition(texts_in_all // ROWS_A_TASK + 1)
+    return dealt.mapInArrow(run, SCORES).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"), "evidence")
