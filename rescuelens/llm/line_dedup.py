@@ -12,8 +12,9 @@ The result holds no text: per document the number of lines, the number dropped,
 bitmap compressed to run lengths, kept lines first (``[3, 2, 4]``: keep 3, drop 2, keep 4).
 ``kept_text`` applies it.
 
-A null or empty text is one empty line. Document ids are assumed to be distinct; of repeated
-rows with one id every row keeps its lines, as they are one document. Extra columns are ignored.
+A null or empty text is one empty line. Document ids are assumed to be distinct; equal rows with
+one id are one document and lose the same lines. Rows without an id keep all their lines and drop
+none elsewhere. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def dropped_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int =
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
-    keyed = (lines.filter(F.length("line") >= least_chars)
+    keyed = (lines.filter((F.length("line") >= least_chars) & F.col("doc_id").isNotNull())
              .select("doc_id", "pos", line_key(F.col("line")).alias("key"))
              .filter(F.length("key") >= least_chars)
              .select("doc_id", "pos", F.xxhash64("key").alias("h1"),
@@ -83,7 +84,7 @@ def _run_lengths(dropped: Column, n_lines: Column) -> Column:
 def keep_bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = SALTS) -> DataFrame:
     """(doc_id, dropped): documents that lose lines, with the sorted positions they lose."""
     return dropped_lines(docs, least_chars, salts).groupBy("doc_id").agg(
-        F.array_sort(F.collect_list("pos")).alias("dropped"))
+        F.array_sort(F.collect_set("pos")).alias("dropped"))
 
 
 def with_bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = SALTS) -> DataFrame:

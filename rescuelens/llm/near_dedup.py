@@ -17,7 +17,8 @@ units. Equal sets are one class throughout and are not expanded into pairs.
 
 Null texts, and texts without words, have no shingles and are linked with nothing. A text with
 fewer words than a shingle is one shingle. Document ids are assumed to be distinct; repeated
-rows with equal ids fall into one class. Extra columns are ignored.
+rows with equal ids fall into one class, rows without an id are linked with nothing. Extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -245,7 +246,7 @@ def linked(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     """Per document: n_shingles, component_id (smallest id reachable by links) and kept."""
     spark = docs.sparkSession
     signs = staging.stage(signed(docs, shingle_words), "signatures")
-    own = signs.filter("n_shingles > 0")
+    own = signs.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = staging.stage(own.groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"),
         F.min("signature").alias("signature")), "classes")
@@ -259,8 +260,9 @@ def linked(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     named = classes.join(labels, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component"))
     of_class = own.join(named, "digest").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-    alone = signs.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return of_class.unionByName(alone).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    alone = signs.filter("n_shingles = 0 OR doc_id IS NULL").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return of_class.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def first_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,

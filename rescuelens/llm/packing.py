@@ -8,8 +8,9 @@ group the next piece, long ones first, goes where the sum of squares of N(g), th
 open sequences with residual gap g, becomes smallest; a new sequence counts as a choice. At the
 end of a group sequences that are open are emptied into the gaps of others where they fit.
 
-Null and empty texts are one piece that holds id 0. Repeated rows with the same document id
-are packed apart, but their pieces can't be told apart by id. Extra columns are ignored.
+Null and empty texts are one piece that holds id 0. Repeated rows with the same document id,
+or without one, are packed apart, but their pieces can't be told apart by id. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -294,4 +295,4 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY,
 
 def sequences(result: Packed) -> DataFrame:
     """Pieces with ids and places in one table: what a trainer reads, by sequence and offset."""
-    return result.pieces.join(result.places, ["doc_id", "piece", "row_key"]).drop("row_key")
+    return result.pieces.join(result.places.drop("doc_id"), ["row_key", "piece"]).drop("row_key")

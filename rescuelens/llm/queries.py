@@ -20,7 +20,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                             public_tokenizers.path("word_bpe_49k.json"))
     digests = result.pieces.select("doc_id", "piece", "start", F.col("length").cast("long"),
                                    "row_key", F.crc32("ids").alias("ids_crc32"))
-    return digests.join(result.places, ["doc_id", "piece", "row_key"]).select(
+    return digests.join(result.places.drop("doc_id"), ["row_key", "piece"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id",
         F.col("offset").cast("long").alias("offset"))
 

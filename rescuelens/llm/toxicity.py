@@ -53,7 +53,7 @@ SCORES = ("doc_id long, score double, "
 
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learned from."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def term_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

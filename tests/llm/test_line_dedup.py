@@ -47,6 +47,14 @@ def test_hot_line(docs):
     assert {r.doc_id: r.line_dropped for r in out} == {k: v[1] for k, v in brute(rows).items()}
 
 
+def test_rows_without_an_id_and_repeated_rows(docs):
+    rows = [(None, "a line that is shared\nx"), (3, "a line that is shared\ny"), (4, "z\na line that is shared"),
+            (4, "z\na line that is shared")]
+    out = line_dedup.with_bitmaps(docs(rows).select("doc_id", "text")).collect()
+    assert sorted((str(r.doc_id), r.line_dropped, r.line_runs) for r in out) == [
+        ("3", 0, [2]), ("4", 1, [1, 1, 0]), ("4", 1, [1, 1, 0]), ("None", 0, [2])]
+
+
 def test_empty_table(docs):
     assert line_dedup.with_bitmaps(docs([]).select("doc_id", "text")).collect() == []
 

@@ -66,6 +66,14 @@ def test_edge_rows(docs):
         assert run(docs, rows, size) == brute(rows, size)
 
 
+def test_rows_without_an_id(docs):
+    rows = [(None, "a text of its own"), (None, "the same text again"), (5, "the same text again"),
+            (7, "the same text again")]
+    out = near_dedup.linked(docs(rows), shingle_words=2).collect()
+    assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in out) == [
+        ("5", "5", True), ("7", "5", False), ("None", "None", True), ("None", "None", True)]
+
+
 def test_empty_table(docs):
     assert near_dedup.linked(docs([])).collect() == []
     assert near_dedup.linked(docs([(1, None), (2, "")])).count() == 2

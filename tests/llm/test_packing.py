@@ -60,7 +60,7 @@ def test_query_against_the_tokenizer(spark, sf_dir):
 
 
 def test_edge_rows_and_long_texts(docs):
-    frame = docs([(1, None), (2, ""), (3, "word " * 9000), (4, "a b"), (4, "a b"), (5, "\n \t")])
+    frame = docs([(1, None), (2, ""), (3, "word " * 9000), (4, "a b"), (4, "a b"), (5, "\n \t"), (None, "c")])
     result = packing.packed(frame, PATH, capacity=100, group_rows=40)
     rows = packing.sequences(result).collect()
     check_places(rows, 100)
@@ -68,7 +68,7 @@ def test_edge_rows_and_long_texts(docs):
     for r in rows:
         assert len(r.ids) == 4 * r.length
         lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
-    assert lengths == {1: 1, 2: 1, 3: 9001, 4: 6, 5: 1}
+    assert lengths == {1: 1, 2: 1, 3: 9001, 4: 6, 5: 1, None: 2}
 
 
 def test_empty_table(docs):

@@ -78,9 +78,10 @@ def test_edge_rows(docs, spark):
     labels = spark.createDataFrame([(k, 0, int(k % 2 == 0)) for k in range(60)] + [(None, 1, 1), (999, 1, 1)],
                                    "doc_id long, quality int, toxic int")
     rows = [(k, f"plain words {'idiot fool' if k % 2 == 0 else 'nice day'} number{k}") for k in range(60)]
-    rows += [(100, None), (101, ""), (102, "You IDIOT, fool!"), (102, "nothing"), (103, "idiot " * 30_000)]
+    rows += [(100, None), (101, ""), (102, "You IDIOT, fool!"), (102, "nothing"), (103, "idiot " * 30_000), (None, "idiot")]
     out = toxicity.scored(docs(rows), labels).collect()
     assert len(out) == len(rows)
+    assert [r.held_out for r in out if r.doc_id is None] == [False]
     scores = {r.doc_id: r.score for r in out if r.doc_id != 102}
     assert scores[103] > 0.7 and scores[100] == scores[101] < 0.3
     assert max(r.score for r in out if r.doc_id == 102) > 0.7
