@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from rescuelens import session
-from rescuelens.operators import labels
 from rescuelens.plans import filtering, training
 from rescuelens.sources import columns, layout, readers, writers
 
