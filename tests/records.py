@@ -1,4 +1,7 @@
-"""Hand-picked posts with the record each has to get, checked by reading the label rules.
+"""Hand-picked posts with the record each has to get.
+
+The records were printed by the labeller once and read against the label rules; they guard what
+was found right then.
 
 post, needs, urgency, life threatening, (province, district, neighborhood, address note, confidence
 of the place), people, groups, type, confidence; then the evidence: needs, groups, urgency.
