@@ -24,35 +24,34 @@ def _streamed(spark, sf_dir):
 
 
 def _run(spark, df):
-    """Runs a stream into a new table; returns the table and the stream's progress."""
+    """Runs a stream into a new table and returns it."""
     output = session.fresh_path(spark, "sink")
     query = (df.writeStream.format("parquet").option("path", output)
              .option("checkpointLocation", session.fresh_path(spark, "progress"))
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.schema(df.schema).parquet(output), query.recentProgress
+    return spark.read.schema(df.schema).parquet(output)
 
 
 def stream_filter(spark, sf_dir):
     flagged = streaming.help_stream(_streamed(spark, sf_dir), "post_text")
-    kept, _ = _run(spark, flagged.select("seq", "post_id", "_sos", "_flood", "_need", "_haz"))
-    return kept
+    return _run(spark, flagged.select("seq", "post_id", "_sos", "_flood", "_need", "_haz"))
 
 
 def stream_counters(spark, sf_dir):
-    """Rows read and kept, added up over the progress of the batches."""
-    _, progress = _run(spark, streaming.help_stream(_streamed(spark, sf_dir), "post_text").select("seq"))
-    counted = {name: sum(p.observedMetrics[name].rows for p in progress if name in p.observedMetrics)
-               for name in ("read", "kept")}
-    return spark.createDataFrame([(counted["read"], counted["kept"])], "rows_read long, rows_kept long")
+    """Rows read and kept, added up over the batches."""
+    output = session.fresh_path(spark, "sink")
+    (_streamed(spark, sf_dir).writeStream.foreachBatch(streaming.count_batch(output, "post_text"))
+     .option("checkpointLocation", session.fresh_path(spark, "progress"))
+     .trigger(availableNow=True).start().awaitTermination())
+    return streaming.counted(spark, output)
 
 
 def stream_distinct(spark, sf_dir):
     """One post per key; which one depends on the order of arrival."""
     key = dedup.id_or_text_key("post_id", "post_text")
-    kept, _ = _run(spark, streaming.distinct_posts(_streamed(spark, sf_dir), key).select(
+    return _run(spark, streaming.distinct_posts(_streamed(spark, sf_dir), key).select(
         dedup.digest(key).alias("key")))
-    return kept
 
 
 def stream_append(spark, sf_dir):

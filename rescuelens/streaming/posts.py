@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -58,6 +58,32 @@ def append_batch(path: str, key: Column, order: Sequence[str]
     return handle
 
 
+def count_batch(path: str, text_col: str, rules: sg.SignalRules = sg.EVENT_RULES,
+                mode: str = "balanced", allow_retweets: bool = True) -> Callable[[DataFrame, int], None]:
+    """Handler for ``foreachBatch`` that writes the rows read and kept of a batch to a table.
+
+    The progress of a stream is forgotten after 100 batches; the table holds all of them. Each
+    batch owns a folder, so a batch that runs again counts once.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        kept = masks.keep_help_posts(batch, text_col, rules, mode, allow_retweets)
+        rows, none = F.count(F.lit(1)), F.lit(0).cast("long")
+        counts = batch.agg(rows.alias("rows_read")).withColumn("rows_kept", none).unionByName(
+            kept.agg(rows.alias("rows_kept")).withColumn("rows_read", none))
+        counts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return handle
+
+
+def counted(spark: SparkSession, path: str) -> DataFrame:
+    """(rows_read, rows_kept) over all batches that ``count_batch`` wrote; 0 without any."""
+    table = spark.createDataFrame([(0, 0)], "rows_read long, rows_kept long")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        table = table.unionByName(spark.read.schema(table.schema).parquet(path).select(table.columns))
+    return table.agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_kept").alias("rows_kept"))
+
+
 def _earlier_keys(batch: DataFrame, path: str, batch_id: int) -> DataFrame | None:
     if batch_id == 0:
         return None

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from rescuelens.catalog import stream_queries
 from rescuelens.catalog.relations import posts
 from rescuelens.functions import signals as sg
 from rescuelens.operators import dedup, masks
@@ -77,3 +78,17 @@ def test_append_batch_can_run_again(spark, tmp_path):
     for batch_id, df in ((0, first), (1, second), (1, second)):
         handle(df, batch_id)
     assert sorted((r.k, r.n) for r in spark.read.parquet(out).collect()) == [("a", 1), ("b", 3)]
+
+
+def test_counters_outlive_the_progress(spark, source, monkeypatch):
+    """More batches than the stream's progress remembers."""
+    batch, stream = source
+    monkeypatch.setattr(stream_queries, "_streamed", lambda spark, sf_dir: stream)
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        got = stream_queries.stream_counters(spark, None).collect()
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    kept = masks.keep_help_posts(batch, "post_text", sg.EVENT_RULES).count()
+    assert [tuple(r) for r in got] == [(batch.count(), kept)]
