@@ -80,8 +80,8 @@ INDEX_WORDS = [
 
 # --- end of fixed values ------------------------------------------------------------------
 
-#: how many of a text's rarest licence words are looked up
-RAREST = 12
+#: how many of a text's rarest licence words are looked up: all of them, the index is a fixed list
+RAREST = len(INDEX_WORDS)
 #: weight of an index word that no text holds
 UNSEEN = 20
 #: least share of a template's weight that has to agree on one relative position
@@ -151,15 +151,12 @@ def scan(docs: DataFrame) -> DataFrame:
                          F.array_max(every).cast("long").alias("last_word"),
                          F.array_compact(names).alias("base"))
 
-    # rare words, postings and relative positions
+    # index words, postings and relative positions
     idf = F.broadcast(word_weights(candidates, rows.count()))
     index = postings(spark)
     own = candidates.select("row_key", F.posexplode("words").alias("at", "word")).filter(
         F.col("word").isin(INDEX_WORDS)).join(idf, "word")
-    rarest = own.groupBy("row_key").agg(F.slice(F.sort_array(F.collect_set(
-        F.struct("idf", "word")), False), 1, RAREST).alias("rare"))
-    rare = rarest.select("row_key", F.explode("rare").alias("r")).select("row_key", "r.word")
-    looked_up = own.join(rare, ["row_key", "word"]).join(F.broadcast(index), "word")
+    looked_up = own.join(F.broadcast(index), "word")
     weight = index.join(idf, "word", "left").groupBy("template").agg(
         F.sum(F.coalesce("idf", F.lit(float(UNSEEN)))).alias("whole"))
     agree = looked_up.groupBy("row_key", "template", (F.col("at") - F.col("place")).alias("shift")).agg(

@@ -84,3 +84,14 @@ def test_templates_hold_their_phrases():
 def test_native_plan(docs):
     plan = ls.scan(docs(ROWS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_file_of_several_licences(docs):
+    names = ["mit", "bsd", "apache", "mpl", "isc"]
+    text = "\n\n".join(f"Notice {k}. {t}" for k, t in enumerate(t for label, _, t in ls.TEMPLATES if label in names))
+    rows = [(1, text), (2, text + " " + " ".join(ls.INDEX_WORDS))] + [(100 + k, "plain text") for k in range(40)]
+    out = {r.doc_id: r for r in ls.scan(docs(rows)).collect()}
+    for k in (1, 2):
+        assert out[k].labels == ",".join(sorted(names))
+        assert sorted(h.label for h in out[k].hits) == sorted(names)
+        assert all(h.share > 0.999 for h in out[k].hits)
