@@ -1,8 +1,9 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one per block element; menus, headers, footers, sidebars, forms,
-adverts, notices and reader comments leave a gap of empty lines. The length of text outside links
-is summed over windows of ``WINDOW`` lines. The text begins where the sum surges over a threshold
+adverts, notices and reader comments leave a gap of empty lines. Where article elements hold enough
+of the text (``ARTICLE_SHARE``), all their lines are kept. On other pages the length of text outside
+links is summed over windows of ``WINDOW`` lines. The text begins where the sum surges over a threshold
 and ends where it dives to zero; all lines between are kept. The threshold follows short pages: it
 is never more than half the largest sum of the page.
 
@@ -170,17 +171,15 @@ def main_text(html: str) -> str:
     lines = lines_of(html)
     weights = [weight for _, weight, _ in lines]
     inside = [weight if article else 0 for _, weight, article in lines]
-    alone = any(inside) and sum(inside) >= ARTICLE_SHARE * sum(weights)
-    if alone:
-        # the other lines are a gap
-        lines = [x if x[2] else ("", 0, False) for x in lines]
-        weights = inside
+    if any(inside) and sum(inside) >= ARTICLE_SHARE * sum(weights):
+        # the article bounds the text: nothing in it is lost to the gaps of removed parts
+        return "\n".join(text for text, _, article in lines if text and article)
     if not any(weights):
         return ""
     sums = [sum(weights[k:k + WINDOW]) for k in range(len(weights))]
     surge = min(SURGE, max(sums) / 2)
     kept: list[str] = []
-    done = k = 0
+    k = 0
     while k < len(lines):
         if sums[k] < surge:
             k += 1
@@ -190,11 +189,8 @@ def main_text(html: str) -> str:
             stop += 1
         while k < stop and not weights[k]:
             k += 1
-        while alone and k > done and lines[k - 1][0]:
-            # in an article nothing but text comes before the surge
-            k -= 1
         kept.extend(text for text, _, _ in lines[k:stop] if text)
-        done = k = max(stop, k + 1)
+        k = max(stop, k + 1)
     return "\n".join(kept)
 
 

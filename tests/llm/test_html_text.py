@@ -62,3 +62,14 @@ def test_edge_rows(spark):
     out = html_text.extracted(frame).collect()
     assert sorted((str(r.page_id), len(r.text)) for r in out) == [("1", 0), ("1", 0), ("2", 3000 * (len(LONG) + 1) - 1), ("None", 1)]
     assert html_text.extracted(frame.limit(0)).collect() == []
+
+
+def test_short_lines_between_removed_parts_of_an_article():
+    long = "word " * 60
+    beside = ["<div class=advert><p>Buy now</p></div>", "<aside><p>An aside</p></aside>",
+              "<form><p>Your name</p></form>", "<div class=notice><p>A notice</p></div>"]
+    page = (f"<article><h1>The title of the page</h1><p>{long}</p>" + "".join(
+        f"{part}<p>A short line, number {k}.</p>" for k, part in enumerate(beside))
+        + f"{beside[0]}<ul><li>one</li></ul>{beside[1]}<figcaption>caption</figcaption></article><p>Not in it</p>")
+    want = ["The title of the page", long.strip(), *[f"A short line, number {k}." for k in range(4)], "one", "caption"]
+    assert main_text(page) == "\n".join(want)
