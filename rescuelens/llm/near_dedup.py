@@ -8,9 +8,10 @@ enumerated, and the symbols left are a key. Sets with a key in common are candid
 similarity 0.8 misses all keys of the default layout with probability below 3e-6.
 
 Candidates are never expanded within a group. Each key links its members to its smallest one
-(first within a task, so a key held by a third of all rows sends one row per task). Links whose
-signatures and set sizes allow the similarity form families. A family is compared exactly, on
-full sets, in units of two blocks of bounded size; a unit keeps track of what is connected
+(first within a task, so a key held by a third of all rows sends one row per task). All sets that
+these links connect are a family, so all members of a key are in one, whatever their smallest one
+is like. A family is compared in units of two blocks of bounded size: pairs whose set sizes and
+signatures allow the similarity exactly, on full sets. A unit keeps track of what is connected
 already and compares only what is not, and returns no more links than it has members. Every
 pair that could still join two components is compared, so none is lost; large families are many
 units. Equal sets are one class throughout and are not expanded into pairs.
@@ -134,21 +135,6 @@ def _differ(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.count_nonzero(left != right, axis=-1)
 
 
-def near_links(links: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Links whose set sizes and signatures allow the similarity."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                differ = _differ(_signature_rows(batch.column("of_a")),
-                                 _signature_rows(batch.column("of_b")))
-                yield batch.select(["a", "b"]).filter(pa.array(differ <= MOST_DIFFERENT))
-
-    by_id = classes.select("id", "n", "signature")
-    sized = (links.join(by_id.toDF("a", "n_a", "of_a"), "a").join(by_id.toDF("b", "n_b", "of_b"), "b")
-             .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-    return sized.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
-
-
 def family_units(families: DataFrame, classes: DataFrame) -> DataFrame:
     """(id, family, low, high): the units of two blocks in which a class is compared."""
     members = families.join(classes.select("id", "n"), "id")
@@ -250,8 +236,9 @@ def linked(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     classes = staging.stage(own.groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"),
         F.min("signature").alias("signature")), "classes")
-    near = near_links(candidate_links(classes), classes, percent)
-    families = staging.stage(components(near), "families")
+    # sizes and signatures are left to the pairs: two members of a key may be alike when neither is
+    # like the key's smallest one
+    families = staging.stage(components(candidate_links(classes)), "families")
     units = staging.stage(family_units(families, classes), "units")
     links = family_links(docs, units, families.count(), shingle_words, percent)
     labels = staging.stage(components(links), "labels")

@@ -110,3 +110,23 @@ def test_a_pair_at_the_threshold_shares_a_key():
         missed += not (keys[0] == keys[1]).any()
         assert (pair[0] != pair[1]).sum() <= near_dedup.MOST_DIFFERENT
     assert missed == 0
+
+
+def shared_passages(seed, passages, older):
+    """Per passage older documents that hold it beside words of their own, then two near
+    copies of the passage alone."""
+    rng = random.Random(seed)
+    rows = []
+    for p in range(passages):
+        passage = [f"p{p}w{k}" for k in range(60)]
+        for k in range(older):
+            own = [f"o{rng.randrange(10 ** 9)}" for _ in range(rng.randrange(17, 26))]
+            rows.append((1000 * p + k, " ".join(passage + own)))
+        for k in (older, older + 1):
+            rows.append((1000 * p + k, " ".join(passage + [f"e{k}"])))
+    return rows
+
+
+def test_members_of_a_key_unlike_its_smallest(docs):
+    rows = shared_passages(5, 2, 200)
+    assert run(docs, rows, 2) == brute(rows, 2)
