@@ -98,9 +98,9 @@ def _signature_rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, SYMBOLS)
 
 
-def _keyed(classes: DataFrame, heads: bool) -> DataFrame:
-    """Keys of the classes: the smallest class of a key within a few thousand rows of a task
-    (``heads``), or else the links (a, b) of the others to it."""
+def _keyed(classes: DataFrame) -> DataFrame:
+    """(key, id, head): the smallest class of each key within a few thousand rows of a task, without
+    a head, and each of the others there, once for every such head."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
@@ -112,23 +112,26 @@ def _keyed(classes: DataFrame, heads: bool) -> DataFrame:
             by_key = np.argsort(keys, kind="stable")
             keys, of = keys[by_key], of[by_key]
             first = np.concatenate([[True], keys[1:] != keys[:-1]])
-            if heads:
-                yield pa.RecordBatch.from_arrays([pa.array(keys[first]), pa.array(of[first])],
-                                                 ["key", "id"])
-            else:
-                head = of[np.flatnonzero(first)[np.cumsum(first) - 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(head[~first]), pa.array(of[~first])],
-                                                 ["a", "b"])
-    return classes.select("id", "signature").mapInArrow(
-        run, "key long, id long" if heads else "a long, b long")
+            head = of[np.flatnonzero(first)[np.cumsum(first) - 1]]
+            others = np.flatnonzero(~first)
+            others = others[np.lexsort((of[others], head[others]))]
+            again = (head[others[1:]] == head[others[:-1]]) & (of[others[1:]] == of[others[:-1]])
+            others = np.concatenate([others[:1], others[1:][~again]])
+            rows = np.concatenate([np.flatnonzero(first), others])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[rows]), pa.array(of[rows]), pa.array(head[rows], mask=first[rows])],
+                ["key", "id", "head"])
+    return classes.select("id", "signature").mapInArrow(run, "key long, id long, head long")
 
 
 def candidate_links(classes: DataFrame) -> DataFrame:
-    """(a, b): links from the smallest member of each key to the others."""
-    least = F.min("id").over(W.partitionBy("key"))
-    across = _keyed(classes, heads=True).select(least.alias("a"), F.col("id").alias("b"))
-    return (across.filter("a <> b").unionByName(_keyed(classes, heads=False))
-            .distinct())
+    """(a, b): links that connect all members of each key, heads to the smallest of them.
+
+    Heads and the links to them come from one scan, so they always fit together.
+    """
+    least = F.min("id").over(W.partitionBy("key", "head"))
+    return (_keyed(classes).select(F.coalesce("head", least).alias("a"), F.col("id").alias("b"))
+            .filter("a <> b").distinct())
 
 
 def _differ(left: np.ndarray, right: np.ndarray) -> np.ndarray:

@@ -130,3 +130,9 @@ def shared_passages(seed, passages, older):
 def test_members_of_a_key_unlike_its_smallest(docs):
     rows = shared_passages(5, 2, 200)
     assert run(docs, rows, 2) == brute(rows, 2)
+
+
+def test_heads_and_links_come_from_one_scan(spark):
+    classes = spark.createDataFrame([], "id long, n long, signature binary")
+    plan = near_dedup.candidate_links(classes)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
