@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that an earlier document holds."""
-    return line_dedup.without_repeats(docs)
+    """Texts without the lines that an earlier document holds; only what is left blank is dropped."""
+    return line_dedup.without_repeats(docs, least_left=1)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,16 +108,17 @@ def kept_text(text: Column, runs: Column) -> Column:
         F.array_join(marked, "\n"))
 
 
-def without_repeats(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = SALTS) -> DataFrame:
+def without_repeats(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = SALTS,
+                    least_left: int = LEAST_CHARS) -> DataFrame:
     """``docs`` with the kept text in place of the text, and ``n_chars`` set after it.
 
-    A document that lost lines and has no line of ``least_chars`` left is dropped: what it held
-    is in earlier documents.
+    A document that lost lines and has no line of ``least_left`` characters left is dropped. With 1
+    only documents go of which nothing but blanks is left: all they held is in earlier documents.
     """
     row = docs.select(F.struct("*").alias("row"), "doc_id", "text")
     marked = with_bitmaps(row, least_chars, salts).select(
         "row", "line_dropped", kept_text(F.col("text"), F.col("line_runs")).alias("kept"))
-    some = F.exists(lines_of(F.col("kept")), lambda line: F.length(line_key(line)) >= least_chars)
+    some = F.exists(lines_of(F.col("kept")), lambda line: F.length(line_key(line)) >= least_left)
     kept = marked.filter((F.col("line_dropped") == 0) | some)
     changed = F.col("line_dropped") > 0
     new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("row.text")),

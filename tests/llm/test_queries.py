@@ -109,3 +109,11 @@ def test_edge_rows(spark, sf_dir, docs):
         out.collect()
         assert stage(spark, frame.limit(0), sf_dir).collect() == []
     corpus_pipeline.STAGES[-1][1](spark, frame, sf_dir).collect()
+
+
+def test_short_lines_survive_a_repeated_header(spark, sf_dir, docs):
+    header = "A header that is shared"
+    rows = [(1, f"{header}\nthe first body of all"), (2, f"{header}\nO Rose,\nart sick."), (3, f"{header}\n詩の行\n"),
+            (4, f"{header}\n \n\t"), (5, header)]
+    out = corpus_pipeline.repeated_lines(spark, docs(rows), sf_dir).collect()
+    assert {r.doc_id: r.text for r in out} == {1: rows[0][1], 2: "O Rose,\nart sick.", 3: "詩の行\n"}
