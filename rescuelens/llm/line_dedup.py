@@ -54,7 +54,8 @@ def dropped_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int =
              .select("doc_id", "pos", line_key(F.col("line")).alias("key"))
              .filter(F.length("key") >= least_chars)
              .select("doc_id", "pos", F.xxhash64("key").alias("h1"),
-                     F.xxhash64("key", F.lit(1)).alias("h2"),
+                     # the seed comes first: after the key it would only hash h1 again
+                     F.xxhash64(F.lit(1), "key").alias("h2"),
                      F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt")))
     # hashes are even, so equal ranges need no sample; a salt shifts the ranges
     range_id = F.pmod(F.shiftright("h1", 40) * parts / F.lit(1 << 24) + F.col("salt") * parts / salts,

@@ -47,6 +47,16 @@ def test_hot_line(docs):
     assert {r.doc_id: r.line_dropped for r in out} == {k: v[1] for k, v in brute(rows).items()}
 
 
+def test_lines_of_one_hash_are_told_apart(docs):
+    """Two lines that xxhash64 does not tell apart by itself."""
+    one, two = (f"{a} of the hash they share {b} and so on to the end of" for a, b in
+                [("the line", "and more"), ("-fhdv):-", "9 03a7e?")])
+    out = line_dedup.with_bitmaps(docs([(1, one), (2, two)]).select(
+        "doc_id", "text", F.xxhash64("text").alias("hash"))).collect()
+    assert one != two and len({r.hash for r in out}) == 1
+    assert [r.line_dropped for r in out] == [0, 0]
+
+
 def test_rows_without_an_id_and_repeated_rows(docs):
     rows = [(None, "a line that is shared\nx"), (3, "a line that is shared\ny"), (4, "z\na line that is shared"),
             (4, "z\na line that is shared")]
