@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rescuelens.llm import (chat_format, decontamination, html_text, license_scan, line_dedup,
-                            near_dedup, packing, quality, secret_scan, toxicity)
+from rescuelens.llm import (chat_format, decontamination, hard_negatives, html_text, license_scan, line_dedup,
+                            near_dedup, packing, quality, secret_scan, simhash, toxicity)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -180,6 +180,37 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("evidence", lambda e: e["doc_id"].cast("string")), ",").alias("nearest"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+OP11_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+pos AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM p WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT pos.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY pos.anchor_id, positive_id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+       n.id AS negative_id, positive_score, n.score AS negative_score
+FROM pos JOIN p n ON n.anchor_id = pos.anchor_id AND NOT n.same
+  AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY pos.anchor_id, positive_id ORDER BY n.score DESC, n.id) <= 3
+"""
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.linked(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -191,6 +222,8 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_simhash": op12_simhash,
 }
 
 ORACLES: dict[str, str] = {
@@ -198,4 +231,5 @@ ORACLES: dict[str, str] = {
     "op4_near_dedup": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
     "op7_chat_format": OP7_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }

@@ -77,7 +77,7 @@ def slices(offsets: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def _segments(data: np.ndarray) -> Iterator[tuple[int, int]]:
+def segments(data: np.ndarray) -> Iterator[tuple[int, int]]:
     """Parts of one long text, cut at blanks."""
     start = 0
     while start < len(data):
@@ -96,7 +96,7 @@ def words_of(data: np.ndarray, starts: np.ndarray, lower: bool = True
     (with A-Z lowered, if so wished), number of its text, first byte, byte after the last.
     """
     if len(data) > SLICE and len(starts) == 1:
-        parts = [_words_within(data[a:b], np.zeros(1, np.int64), lower) + (a,) for a, b in _segments(data)]
+        parts = [_words_within(data[a:b], np.zeros(1, np.int64), lower) + (a,) for a, b in segments(data)]
         return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]),
                 np.concatenate([p[2] + p[4] for p in parts]),
                 np.concatenate([p[3] + p[4] for p in parts]))

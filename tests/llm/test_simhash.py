@@ -1,0 +1,117 @@
+import random
+
+import numpy as np
+import xxhash
+
+from rescuelens.llm import queries, simhash
+from tests.llm.test_near_dedup import smallest_reachable
+
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
+def plain_fingerprint(text, size=3):
+    words = (text or "").encode().translate(LOWER).split()
+    if not words:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[k:k + size]), 42)
+              for k in range(max(1, len(words) - size + 1))]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def brute(rows, size=3):
+    """Every pair of different fingerprints is compared."""
+    prints = {k: plain_fingerprint(t, size) for k, t in rows}
+    ids = list(prints)
+    values = np.array([prints[k] for k in ids], np.uint64)
+    pairs = []
+    for n, k in enumerate(ids):
+        near = np.flatnonzero(np.bitwise_count(values[n + 1:] ^ values[n]) <= 2) + n + 1
+        pairs += [(k, ids[m]) for m in near.tolist()]
+    reach = smallest_reachable(ids, pairs)
+    return {k: (f"{prints[k]:016x}", reach[k]) for k in ids}
+
+
+def run(docs, rows, **more):
+    out = simhash.linked(docs(rows), **more).collect()
+    assert len(out) == len(rows)
+    return {r.doc_id: (r.fingerprint, r.component_id) for r in out}
+
+
+def near_copies(seed, families, members, words):
+    rng = random.Random(seed)
+    rows = []
+    for f in range(families):
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(words)]
+        for m in range(members):
+            own = list(base)
+            for _ in range(rng.randrange(3)):
+                own[rng.randrange(words)] = f"e{rng.randrange(10 ** 6)}"
+            rows.append((1000 * f + m, " ".join(own)))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_query_against_all_pairs(spark, sf_dir):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    want = brute(rows)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op12_simhash(spark, sf_dir).collect()}
+    assert got == want and any(c != k for k, (_, c) in want.items())
+
+
+def test_near_copies(docs):
+    rows = near_copies(1, 5, 40, 400)
+    want = brute(rows)
+    assert run(docs, rows) == want
+    # links between different fingerprints are there
+    assert len({f for f, _ in want.values()}) > len({c for _, c in want.values()})
+
+
+def test_anchors_of_several_blocks(docs, monkeypatch):
+    monkeypatch.setattr(simhash, "HOMES", 3)
+    monkeypatch.setattr(simhash, "ARRIVALS", 5)
+    monkeypatch.setattr(simhash, "PAIRS", 7)
+    rows = near_copies(2, 2, 60, 300)
+    assert run(docs, rows) == brute(rows)
+    monkeypatch.setattr(simhash, "SENT_ANCHORS", 0)
+    assert run(docs, rows) == brute(rows)
+
+
+def test_every_link_is_met_at_a_home():
+    """All ways to flip two bits of random words."""
+    rng = np.random.default_rng(0)
+    for word in rng.integers(0, 2 ** 63, 4).astype(np.uint64):
+        ones = np.uint64(1) << np.arange(64, dtype=np.uint64)
+        others = np.unique(np.concatenate([[word], (word ^ ones[:, None] ^ ones[None, :]).ravel(), word ^ ones]))
+        home = simhash.homes_of(np.array([word]).view(np.int64))[0]
+        anchor, place = simhash.anchors_of(others.view(np.int64))
+        assert set(place[anchor == home].tolist()) == set(range(len(others))) and len(others) == 2081
+        assert len(anchor) <= 68 * len(others)
+
+
+def test_code_words_are_perfect():
+    code = simhash._Code()
+    assert code.flips.shape[0] == 2 ** 11 and (code.beyond[:, 0] == 0).all() and (code.beyond[:, 1:] > 0).all()
+    words = np.arange(2 ** 23)
+    assert (np.bitwise_count(code.flips[code.remainder(words), 0]) <= simhash.RADIUS).all()
+    assert (code.remainder(words ^ code.flips[code.remainder(words), 0]) == 0).all()
+
+
+def test_edge_rows(docs):
+    rows = [(9, None), (8, ""), (7, " \n\t "), (6, "One"), (5, "one"), (4, "one two"), (3, "ONE\x0btwo"),
+            (2, "a b c d e f"), (1, "A  b c\td e f"), (0, "long words " * 150_000), (10, "lõng lõng lõng"),
+            (11, "x" * 1_500_000 + " y z " + "v" * 1_100_000)]
+    for size in (1, 3, 5):
+        assert run(docs, rows, shingle_words=size) == brute(rows, size)
+
+
+def test_repeated_rows_and_rows_without_an_id(docs):
+    rows = [(None, "a text of its own"), (5, "the same text again"), (5, "the same text again"),
+            (5, "quite another text here"), (3, "the same text again"), (2, None), (None, None)]
+    out = simhash.linked(docs(rows)).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in out), key=str) == sorted(
+        [(None, None), (5, 3), (5, 3), (5, 5), (3, 3), (2, 2), (None, None)], key=str)
+
+
+def test_empty_table(docs):
+    out = simhash.linked(docs([]))
+    assert out.collect() == [] and out.columns == ["doc_id", "fingerprint", "component_id"]
