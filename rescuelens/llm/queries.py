@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rescuelens.llm import (chat_format, decontamination, hard_negatives, html_text, license_scan, line_dedup,
-                            near_dedup, packing, quality, secret_scan, simhash, toxicity)
+from rescuelens.llm import (chat_format, conversation_repair, decontamination, hard_negatives, html_text,
+                            license_scan, line_dedup, near_dedup, packing, quality, secret_scan, simhash,
+                            toxicity)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -211,6 +212,34 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.linked(read(spark, sf_dir, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with faults that the crc32 of conversation and turn decides on."""
+    conv_id, turn, role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" "))
+                                 for c in ("conv_id", "turn", "role", "text"))
+    fault = (F.crc32(F.concat_ws(":", conv_id, turn)) % 20).cast("int")
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"),
+                                F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"), fault.alias("fault"))
+    return rows.filter("fault <> 0").select(
+        "conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text")).alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1))).alias("copy"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    repair = conversation_repair.repaired(damaged(conversations))
+    ids = conversations.select(F.col("conv_id").cast("long").alias("id")).distinct()
+    audits = repair.audits.withColumnRenamed("conv_id", "of")
+    sums = conversation_repair.digests(repair.turns).withColumnRenamed("conv_id", "sum_of")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (ids.join(audits, F.col("id").eqNullSafe(F.col("of")), "left")
+            .join(sums, F.col("id").eqNullSafe(F.col("sum_of")), "left")
+            .select(F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
+                    F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -224,6 +253,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_simhash": op12_simhash,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
