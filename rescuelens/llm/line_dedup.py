@@ -90,15 +90,19 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = S
 
 def with_bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = SALTS) -> DataFrame:
     """``docs`` with line_n, line_dropped and line_runs (the compressed keep bitmap)."""
-    lost = keep_bitmaps(docs, least_chars, salts).withColumnRenamed("doc_id", "line_doc")
-    joined = docs.join(lost.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("line_doc"), "left")
-    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    lost = keep_bitmaps(docs, least_chars, salts)
+    # the columns of docs may have any name
+    rows = docs.select(F.struct("*").alias("row"))
+    joined = rows.join(lost.hint("shuffle_hash"), F.col("row.doc_id").cast("long") == F.col("doc_id"), "left")
+    text = F.col("row.text")
+    n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     n_lines = F.coalesce(n_lines, F.lit(1))
-    return joined.withColumns({
-        "line_n": n_lines.cast("long"),
-        "line_dropped": F.coalesce(F.size("dropped"), F.lit(0)).cast("long"),
-        "line_runs": F.when(F.col("dropped").isNull(), F.array(n_lines)).otherwise(
-            _run_lengths(F.col("dropped"), n_lines))}).drop("line_doc", "dropped")
+    new = {"line_n": n_lines.cast("long"),
+           "line_dropped": F.coalesce(F.size("dropped"), F.lit(0)).cast("long"),
+           "line_runs": F.when(F.col("dropped").isNull(), F.array(n_lines)).otherwise(
+               _run_lengths(F.col("dropped"), n_lines))}
+    return joined.select(F.col("row").dropFields(*new).alias("row"),
+                         *(c.alias(name) for name, c in new.items())).select("row.*", *new)
 
 
 def kept_text(text: Column, runs: Column) -> Column:
@@ -110,11 +114,10 @@ def kept_text(text: Column, runs: Column) -> Column:
 
 
 def without_repeats(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = SALTS,
-                    least_left: int = LEAST_CHARS) -> DataFrame:
+                    least_left: int = 1) -> DataFrame:
     """``docs`` with the kept text in place of the text, and ``n_chars`` set after it.
 
-    A document that lost lines and has no line of ``least_left`` characters left is dropped. With 1
-    only documents go of which nothing but blanks is left: all they held is in earlier documents.
+    Documents that lost lines go if nothing but blanks is left: all they held is in earlier documents.
     """
     row = docs.select(F.struct("*").alias("row"), "doc_id", "text")
     marked = with_bitmaps(row, least_chars, salts).select(

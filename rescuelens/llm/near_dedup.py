@@ -261,4 +261,6 @@ def first_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     gone = staging.stage(linked(docs, shingle_words, percent).filter("NOT kept").select(
         F.col("doc_id").alias("gone_id")), "gone")
     ids = F.broadcast(gone) if gone.count() <= SENT_IDS else gone
-    return docs.join(ids, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    # the columns of docs may have any name
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(ids, F.col("row.doc_id").cast("long") == F.col("gone_id"), "left_anti").select("row.*")

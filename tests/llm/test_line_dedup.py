@@ -74,7 +74,7 @@ def test_without_repeats_drops_what_is_left_empty(docs):
     out = line_dedup.without_repeats(frame)
     assert out.columns == frame.columns
     want = {k: v[2] for k, v in brute(ROWS).items()
-            if v[1] == 0 or any(len(key(x)) >= 10 for x in v[2].split("\n"))}
+            if v[1] == 0 or any(key(x) for x in v[2].split("\n"))}
     got = {r.doc_id: r.text for r in out.collect()}
     assert got.pop(7) is None and want.pop(7) == ""
     assert got == want
@@ -86,3 +86,14 @@ def test_native_plan(docs):
     assert "Python" not in plan and "Arrow" not in plan and "shufflepartitionidpassthrough" in plan
 
 
+def test_short_lines_are_left(docs):
+    out = line_dedup.without_repeats(docs([(1, "A header that is shared\nbody"), (2, "A header that is shared\nO Rose,\nart sick.")]))
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "A header that is shared\nbody", 2: "O Rose,\nart sick."}
+
+
+def test_columns_of_any_name(spark):
+    names = ("dropped", "line_doc", "row", "pos", "line_dropped", "hash")
+    rows = [(1, "a line that is shared\nx", *names), (2, "a line that is shared\ny", *names)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    assert sorted(tuple(r) for r in line_dedup.without_repeats(frame).collect()) == [rows[0], (2, "y", *names)]
+    assert [r.line_dropped for r in line_dedup.with_bitmaps(frame).orderBy("doc_id").collect()] == [0, 1]

@@ -87,6 +87,12 @@ def test_first_of_each_keeps_columns(docs):
     assert sorted(r.doc_id for r in out.collect()) == [1, 2, 4]
 
 
+def test_first_of_each_with_columns_of_any_name(spark):
+    frame = spark.createDataFrame([(3, "the same text in five words", 0, "r"), (1, "the same text in five words", 1, "s")],
+                                  "doc_id long, text string, gone_id int, row string")
+    assert [tuple(r) for r in near_dedup.first_of_each(frame).collect()] == [(1, "the same text in five words", 1, "s")]
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(3)
     links = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 140)]
