@@ -113,8 +113,7 @@ def kept_text(text: Column, runs: Column) -> Column:
         F.array_join(marked, "\n"))
 
 
-def without_repeats(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = SALTS,
-                    least_left: int = 1) -> DataFrame:
+def without_repeats(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = SALTS) -> DataFrame:
     """``docs`` with the kept text in place of the text, and ``n_chars`` set after it.
 
     Documents that lost lines go if nothing but blanks is left: all they held is in earlier documents.
@@ -122,7 +121,7 @@ def without_repeats(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int
     row = docs.select(F.struct("*").alias("row"), "doc_id", "text")
     marked = with_bitmaps(row, least_chars, salts).select(
         "row", "line_dropped", kept_text(F.col("text"), F.col("line_runs")).alias("kept"))
-    some = F.exists(lines_of(F.col("kept")), lambda line: F.length(line_key(line)) >= least_left)
+    some = F.exists(lines_of(F.col("kept")), lambda line: line_key(line) != "")
     kept = marked.filter((F.col("line_dropped") == 0) | some)
     changed = F.col("line_dropped") > 0
     new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("row.text")),
