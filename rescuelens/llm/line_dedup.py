@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rescuelens.llm import staging
+
 LEAST_CHARS = 10
 SALTS = 16
 BLANKS = " \t\n\x0b\x0c\r"
@@ -90,19 +92,16 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = S
 
 def with_bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int = SALTS) -> DataFrame:
     """``docs`` with line_n, line_dropped and line_runs (the compressed keep bitmap)."""
-    lost = keep_bitmaps(docs, least_chars, salts)
-    # the columns of docs may have any name
-    rows = docs.select(F.struct("*").alias("row"))
-    joined = rows.join(lost.hint("shuffle_hash"), F.col("row.doc_id").cast("long") == F.col("doc_id"), "left")
-    text = F.col("row.text")
-    n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    of, dropped = (staging.unused_name(docs, n) for n in ("line_doc", "dropped"))
+    lost = keep_bitmaps(docs, least_chars, salts).withColumnsRenamed({"doc_id": of, "dropped": dropped})
+    joined = docs.join(lost.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col(of), "left")
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     n_lines = F.coalesce(n_lines, F.lit(1))
-    new = {"line_n": n_lines.cast("long"),
-           "line_dropped": F.coalesce(F.size("dropped"), F.lit(0)).cast("long"),
-           "line_runs": F.when(F.col("dropped").isNull(), F.array(n_lines)).otherwise(
-               _run_lengths(F.col("dropped"), n_lines))}
-    return joined.select(F.col("row").dropFields(*new).alias("row"),
-                         *(c.alias(name) for name, c in new.items())).select("row.*", *new)
+    return joined.withColumns({
+        "line_n": n_lines.cast("long"),
+        "line_dropped": F.coalesce(F.size(dropped), F.lit(0)).cast("long"),
+        "line_runs": F.when(F.col(dropped).isNull(), F.array(n_lines)).otherwise(
+            _run_lengths(F.col(dropped), n_lines))}).drop(of, dropped)
 
 
 def kept_text(text: Column, runs: Column) -> Column:

@@ -258,9 +258,7 @@ def linked(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
 def first_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                   percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """The rows of documents that are the first of their component, with all their columns."""
-    gone = staging.stage(linked(docs, shingle_words, percent).filter("NOT kept").select(
-        F.col("doc_id").alias("gone_id")), "gone")
+    of = staging.unused_name(docs, "gone_id")
+    gone = staging.stage(linked(docs, shingle_words, percent).filter("NOT kept").select(F.col("doc_id").alias(of)), "gone")
     ids = F.broadcast(gone) if gone.count() <= SENT_IDS else gone
-    # the columns of docs may have any name
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(ids, F.col("row.doc_id").cast("long") == F.col("gone_id"), "left_anti").select("row.*")
+    return docs.join(ids, F.col("doc_id").cast("long") == F.col(of), "left_anti")

@@ -21,6 +21,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def drop(spark: SparkSession, *frames: DataFrame) -> None:
     """Removes staged tables that no later step reads."""
     for df in frames:
