@@ -106,6 +106,32 @@ def scan_csv(spark, sf_dir):
         "date", F.md5("content").alias("digest"), "hashtags", "language", "coordinates", "place")
 
 
+def _small_splits(spark):
+    """A session that cuts files into splits of 64 KB, so that small ones are many tasks' work too."""
+    small = spark.newSession()
+    small.conf.set("spark.sql.session.timeZone", "UTC")
+    small.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    return small
+
+
+def scan_csv_split(spark, sf_dir):
+    """Values with line breaks, in files that are cut anywhere."""
+    folder = session.fresh_path(spark, "tagged")
+    writers.write_csv(posts(spark, sf_dir).select(
+        F.col("seq").cast("string").alias("place"), F.concat("post_text", F.lit('\n"quoted",\n'), "post_text").alias("content")),
+        folder)
+    return readers.read_csv(_small_splits(spark), folder).select("place", F.md5("content").alias("digest"))
+
+
+def scan_json_split(spark, sf_dir):
+    """Arrays with brackets and escapes in their strings, in files that are cut anywhere."""
+    folder = session.fresh_path(spark, "arrays")
+    text = F.concat(F.lit('}, {"[\\'), "post_text", F.lit('\n]}'))
+    writers.write_json_array(posts(spark, sf_dir).select("seq", F.struct(text.alias("text")).alias("post")), folder)
+    return readers.read_json_array(_small_splits(spark), folder, "seq long, post struct<text: string>").select(
+        "seq", F.md5("post.text").alias("digest"))
+
+
 ENCODINGS = ("UTF-8", "windows-1254")
 
 
@@ -170,6 +196,7 @@ def sink_roundtrip(spark, sf_dir):
 
 QUERIES = {
     "scan_flat": scan_flat, "scan_headers": scan_headers, "scan_dates": scan_dates, "tagged_run": tagged_run,
+    "scan_csv_split": scan_csv_split, "scan_json_split": scan_json_split,
     "sink_json_array": sink_json_array, "scan_tsv": scan_tsv, "filter_run": filter_run, "scan_skip_bad": scan_skip_bad,
     "scan_csv": scan_csv, "scan_encoding": scan_encoding, "scan_json_array": scan_json_array,
     "scan_jsonl": scan_jsonl, "sink_roundtrip": sink_roundtrip,
@@ -205,6 +232,10 @@ ORACLES = {
             count(*) FILTER (WHERE lower(language) IN ('tr', 'en')) AS after_language,
             count(*) FILTER (WHERE lower(language) IN ('tr', 'en') AND {filter_queries.IN_TIME}) AS after_time
             FROM posts)""",
+    "scan_csv_split": f"""WITH {POSTS_SQL} SELECT CAST(seq AS VARCHAR) AS place,
+        md5(post_text || chr(10) || '"quoted",' || chr(10) || post_text) AS digest FROM posts""",
+    "scan_json_split": f"""WITH {POSTS_SQL} SELECT seq,
+        md5('}}, {{"[\\' || post_text || chr(10) || ']}}') AS digest FROM posts""",
     "sink_json_array": f"SELECT record FROM ({_PAIRS})",
     "scan_csv": f"""WITH {POSTS_SQL} SELECT posted_at AS date,
         md5(nullif(post_text, '')) AS digest, hashtags, language, coordinates,

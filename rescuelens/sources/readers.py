@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import io
+import re
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rescuelens import lexicons as lx
-from rescuelens import session
 from rescuelens.operators.labels import LABEL_DDL
-from rescuelens.sources import columns
+from rescuelens.sources import blocks, columns
 
 EVENT_COLUMNS = ("tweet_id", "tweet_text", "class_label")
 CRISIS_COLUMNS = ("id", "event", "source", "text", "lang", "lang_conf", "class_label")
@@ -51,56 +56,105 @@ def path_order(path: Column) -> Column:
     return F.split(plain, "/")
 
 
-def _null_cells(c: str) -> Column:
-    return F.when(~F.col(c).isin("", *lx.NULL_CELLS), F.col(c)).alias(c)
+def _null_cells(c: Column) -> Column:
+    return F.when(~c.isin("", *lx.NULL_CELLS), c)
 
 
-def _first_rows(rows: DataFrame) -> DataFrame:
-    """First row of every file (``_file``, ``_first``), written once to the shared folder."""
-    first = rows.groupBy("_file").agg(F.min_by(F.struct("_cells", "_row"), "_row").alias("r"))
-    path = session.fresh_path(rows.sparkSession, "headers")
-    first.select("_file", F.col("r._cells").alias("_first"), F.col("r._row").alias("_first_row")
-                 ).write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
+_BLANK = " \t\r\n\ufeff"
 
 
-def _by_header(rows: DataFrame, wanted: Sequence[str] | None, required: Sequence[str],
-               skip_long: bool, order: bool) -> DataFrame:
-    """Columns of rows of cells, each file by its own header.
+@dataclass(frozen=True)
+class _Group:
+    """Files of a scan that have the same header, and are encoded alike."""
+
+    names: tuple[str, ...]
+    files: list[str]
+    encoding: str = "UTF-8"
+
+    def column(self, name: str) -> str:
+        """Name of a header's column in a schema of positions; of equal names the first counts."""
+        return f"c{self.names.index(name)}"
+
+    @property
+    def schema(self) -> T.StructType:
+        # one more column tells rows that are too long
+        return T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(self.names) + 1)])
+
+
+def _grouped(headers: Iterable[tuple[str, Sequence[str], str]]) -> list[_Group]:
+    """Groups of (file, header cells, encoding), in the order of their first files."""
+    groups: dict[tuple, _Group] = {}
+    for file, cells, encoding in headers:
+        names = tuple((c or "").strip(_BLANK) for c in cells)
+        groups.setdefault((names, encoding), _Group(names, [], encoding)).files.append(file)
+    return list(groups.values())
+
+
+def _literal(file: str) -> str:
+    """A listed file as a path to read: decoded, and not taken for a pattern."""
+    return re.sub(r"([\[\]{}*?\\,])", r"\\\1", unquote(file))
+
+
+def _by_group(groups: list[_Group], wanted: Sequence[str] | None, required: Sequence[str], order: bool,
+              skip_long: bool, scan: Callable[[_Group], tuple[DataFrame, Callable[[str], Column]]]) -> DataFrame:
+    """Rows of all groups, each by its own header; one scan per group, and no join.
 
     Files may hold the columns in any order; one that a file lacks is null there. Every file
     needs the required ones. Missing cells are null, cells beyond the header are ignored, or
-    their rows skipped. The names come to the driver, not the files.
+    their rows skipped. ``scan`` gives the rows of a group, and how to get a cell by column.
     """
-    blank = F.lit(" \t\r\n\ufeff")
-    heads = _first_rows(rows.filter(F.col("_block") == 0)).withColumn(
-        "_names", F.transform("_first", lambda c: F.btrim(F.coalesce(c, F.lit("")), blank)))
-    counts = heads.select("_file", F.explode(F.array_distinct("_names")).alias("name")).groupBy(
-        "name").agg(F.count("*").alias("files"), F.min("_file").alias("_file"))
-    found = {r.name: r.files for r in counts.orderBy("_file", "name").collect() if r.name}
-    files = heads.count()
-    columns.require([n for n in found if found[n] == files], required)
-    if wanted is None:
-        # order of the columns: as in the first file, then what other files add
-        top = heads.orderBy("_file").first()
-        wanted = list(dict.fromkeys([*(n for n in (top._names if top else []) if n), *found]))
-    keep = columns.present(found, wanted)
-    joined = rows.join(heads.select("_file", "_names", "_first_row"), "_file").filter(
-        F.col("_row") != F.col("_first_row"))
-    if skip_long:
-        joined = joined.filter(F.size("_cells") <= F.size("_names"))
-    picked = [F.get("_cells", F.array_position("_names", c).cast("int") - 1) for c in keep]
-    # a position of 0 means that the file lacks the column
-    picked = [F.when(F.array_position("_names", c) > 0, p).alias(c) for c, p in zip(keep, picked)]
-    df = joined.select(*picked, path_order(F.col("_file")).alias("_path"), "_block", "_row")
-    return df.select(*map(_null_cells, keep), *(SCAN_ORDER if order else ()))
-
-
-def _with_place(df: DataFrame, cells: Column) -> DataFrame:
-    """File, block and row number next to the cells. Numbers only have to grow in a block."""
-    return df.select(cells.alias("_cells"), F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_block_start").alias("_block"),
-                     F.monotonically_increasing_id().alias("_row"))
+    for group in groups:
+        columns.require([n for n in group.names if n], required)
+    if not groups:
+        columns.require([], required)
+    found = dict.fromkeys(n for g in groups for n in g.names if n)
+    # without wanted ones: those of the first file, then what others add
+    keep = columns.present(found, found if wanted is None else wanted)
+    frames = []
+    for group in groups:
+        rows, cell = scan(group)
+        if skip_long:
+            rows = rows.filter(cell(f"c{len(group.names)}").isNull())
+        picked = [_null_cells(cell(group.column(c))).alias(c) if c in group.names
+                  else F.lit(None).cast("string").alias(c) for c in keep]
+        frames.append(rows.select(*picked, *([path_order(F.col("file")).alias("_path"), F.col("block").alias("_block"),
+                                              F.col("row").alias("_row")] if order else [])))
+    return reduce(DataFrame.unionAll, frames)
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Next to the cells: file, block, and a number that grows within the block."""
+    return rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                       F.monotonically_increasing_id().alias("row"))
+
+
+def first_lines(spark: SparkSession, path, **options) -> DataFrame:
+    """(file, line): the first line of every file that is not blank.
+
+    Every file is one task, which ends as soon as it has the line: little of a file is read, whatever
+    its size. Where the settings put several files into a task, it reads them to the end.
+    """
+    peek = spark.newSession()
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        peek.conf.set(f"spark.sql.files.{name}", str(1 << 50))
+    peek.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    lines = peek.read.options(**options).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").cast("binary").alias("line"))
+    one_each = lines.rdd.getNumPartitions() == len(lines.inputFiles())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()
+        for batch in batches:
+            for file, block, line in zip(*(batch.column(n).to_pylist() for n in ("file", "block", "line"))):
+                if block == 0 and file not in done and line.strip(b" \t\r\n\xef\xbb\xbf"):
+                    done.add(file)
+                    yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([line.decode(errors="replace")])],
+                                                     ["file", "line"])
+                    if one_each:
+                        return
+
+    return lines.mapInArrow(run, "file string, line string")
 
 
 def read_tsv(spark: SparkSession, path: str | Sequence[str], wanted: Sequence[str],
@@ -112,12 +166,18 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], wanted: Sequence[st
     blank lines do not count. ``order`` adds the columns of ``SCAN_ORDER``.
     """
     list_files(spark, path, "*.tsv", recursive)
-    lines = (spark.read.option("pathGlobFilter", "*.tsv")
-             .option("recursiveFileLookup", str(recursive).lower())
-             .text(path if isinstance(path, str) else list(path)))
-    rows = _with_place(lines, F.split("value", "\t", -1)).filter(
-        (F.size("_cells") > 1) | (F.get("_cells", F.lit(0)) != ""))
-    df = _by_header(rows, wanted, required, False, order)
+    paths = path if isinstance(path, str) else list(path)
+    options = {"pathGlobFilter": "*.tsv", "recursiveFileLookup": str(recursive).lower()}
+    heads = first_lines(spark, paths, **options).orderBy("file").collect()
+    groups = _grouped((r.file, r.line.split("\t"), "UTF-8") for r in heads)
+
+    def scan(group: _Group):
+        rows = spark.read.schema(group.schema).options(
+            header="true", sep="\t", quote="", escape="\0", nullValue="", mode="PERMISSIVE", **options).csv(
+            paths if len(groups) == 1 else [_literal(f) for f in group.files])
+        return _placed(rows), F.col
+
+    df = _by_group(groups, wanted, required, order, False, scan)
     for c, t in (types or {}).items():
         if c in df.columns:
             df = df.withColumn(c, F.col(c).try_cast(t))
@@ -135,34 +195,74 @@ def read_crisis_posts(spark: SparkSession, folder, order: bool = False) -> DataF
                     types={"lang_conf": "double"}, order=order)
 
 
+#: CSV as Spark reads it: an absent cell is null, an empty one is not
+_CSV = {"escape": '"', "nullValue": "\ufdd0", "emptyValue": "", "mode": "PERMISSIVE"}
+
+
 def read_csv(spark: SparkSession, path, wanted: Sequence[str] | None = None,
              required: Sequence[str] = (), encoding: str = "UTF-8",
              order: bool = False, skip_long: bool = False, multi_line: bool = True) -> DataFrame:
     """Scan CSV files with a header each and standard quoting.
 
-    Values may span lines unless ``multi_line`` is off; they make a file indivisible, so hand
-    over many files, or stage the table as Parquet once. Missing fields are null; rows with too
-    many are cut to the header, or skipped.
+    Values may span lines unless ``multi_line`` is off; a file is many tasks' work in either case.
+    Missing fields are null; rows with too many are cut to the header, or skipped.
     """
-    width = _widest(spark, path, encoding)
-    # an absent cell is null, an empty one is not; one more column tells too long rows
-    raw = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(width + 1)])
-    df = (spark.read.schema(raw).options(
-        header="false", multiLine=str(multi_line).lower(), escape='"', encoding=encoding,
-        nullValue="\ufdd0", emptyValue="", mode="PERMISSIVE")
-        .csv(path))
-    cells = F.array(*[F.col(c) for c in raw.names])
-    last = F.array_max(F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1)))
-    rows = _with_place(df, F.slice(cells, F.lit(1), F.coalesce(last, F.lit(0)))).filter(
-        F.size("_cells") > 0)
-    return _by_header(rows, wanted, required, skip_long, order)
-
-
-def _widest(spark: SparkSession, path, encoding: str) -> int:
-    """Most fields that the first line of a file can hold."""
-    lines = _with_place(spark.read.option("encoding", encoding).text(path), F.split("value", ",", -1))
-    widest = _first_rows(lines.filter(F.col("_block") == 0)).agg(F.max(F.size("_first"))).first()[0]
-    return widest or 1
+    if multi_line:
+        return _read_records(blocks.survey(spark, path, blocks.CsvLines), path, wanted, required, order, skip_long,
+                             lambda file: encoding)
+    heads = first_lines(spark, path).orderBy("file").collect()
+    groups = _grouped((r.file, _header_cells(r.line), encoding) for r in heads)
+
+    def scan(group: _Group):
+        rows = spark.read.schema(group.schema).options(header="true", encoding=encoding, **_CSV).csv(
+            path if len(groups) == 1 else [_literal(f) for f in group.files])
+        return _placed(rows), F.col
+
+    return _by_group(groups, wanted, required, order, skip_long, scan)
+
+
+def _header_cells(record: str) -> list[str]:
+    return next(csv.reader(io.StringIO(record.strip(_BLANK), newline="")), [])
+
+
+def _read_records(found: blocks.Blocks, path, wanted: Sequence[str] | None, required: Sequence[str], order: bool,
+                  skip_long: bool, encoding_of: Callable[[blocks.FileFacts], str]) -> DataFrame:
+    """CSV records that span lines, by header and encoding."""
+    spark = found.spark
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+    headers = []
+    for f in found.files:
+        encoding = encoding_of(f)
+        if f.first is not None:
+            headers.append((f.file, _header_cells(f.first.decode(encoding, "replace")), encoding))
+        elif f.file in found.unsplit:
+            row = spark.read.options(multiLine="true", encoding=encoding, **_CSV).csv(_literal(f.file)).first()
+            headers.append((f.file, list(row or []), encoding))
+    groups = _grouped(headers)
+
+    def scan(group: _Group):
+        split = [f for f in group.files if f not in found.unsplit]
+        all_files = len(split) == len(found.files)
+        frames = []
+        if split:
+            records = found.records(path if all_files else [_literal(f) for f in split],
+                                    None if all_files else split, skip_first=True)
+            text = (F.col("record").cast("string") if group.encoding == "UTF-8"
+                    else F.decode("record", group.encoding))
+            frames.append(records.select(
+                F.from_csv(text, ", ".join(f"{c} string" for c in group.schema.names), {"multiLine": "true", **_CSV})
+                .alias("cells"), "file", "block", "row"))
+        if len(split) < len(group.files):
+            rest = [_literal(f) for f in group.files if f in found.unsplit]
+            rows = _placed(spark.read.schema(group.schema).options(
+                multiLine="true", header="true", encoding=group.encoding, **_CSV).csv(rest))
+            frames.append(rows.select(F.struct(*group.schema.names).alias("cells"), "file", "block", "row"))
+        return reduce(DataFrame.unionAll, frames), lambda name: F.col("cells")[name]
+
+    if not groups:
+        raise FileNotFoundError(f"no readable files under {path}")
+    return _by_group(groups, wanted, required, order, skip_long, scan)
 
 
 def read_tagged_posts(spark: SparkSession, path, order: bool = False) -> DataFrame:
@@ -215,21 +315,27 @@ def read_csv_any_encoding(spark: SparkSession, path, wanted: Sequence[str] | Non
                           required: Sequence[str] = ()) -> DataFrame:
     """CSV files in UTF-8 (with or without mark) or a Turkish single-byte encoding.
 
-    One row per file comes to the driver, as much as the file listing itself holds.
+    The pass that finds the records' places also tests the bytes, so the text is read twice in all.
     """
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    by_encoding: dict[str, list[str]] = {}
-    for row in file_encodings(spark, path).collect():
-        by_encoding.setdefault(row.encoding, []).append(unquote(row.file))
-    if not by_encoding:
-        raise FileNotFoundError(f"no readable files under {path}")
-    return append_all(*[read_csv(spark, files, wanted, required, encoding)
-                        for encoding, files in sorted(by_encoding.items())])
+    found = blocks.survey(spark, path, blocks.CsvLines)
+
+    def encoding_of(file: blocks.FileFacts) -> str:
+        return "UTF-8" if file.valid else "ISO-8859-9" if file.undefined else "windows-1254"
+    return _read_records(found, path, wanted, required, False, False, encoding_of)
 
 
 def read_json_array(spark: SparkSession, path, schema: str = PAIR_DDL) -> DataFrame:
-    """Files that hold one JSON array of records."""
-    return spark.read.schema(schema).option("multiLine", "true").json(path)
+    """Files that hold one JSON array of records each; a file of any size is many tasks' work."""
+    found = blocks.survey(spark, path, blocks.JsonObjects)
+    split = [f.file for f in found.files if f.file not in found.unsplit]
+    frames = []
+    if split or not found.unsplit:
+        records = found.records(path) if not found.unsplit else found.records([_literal(f) for f in split], split)
+        frames.append(records.select(F.from_json(F.col("record").cast("string"), schema).alias("r")).select("r.*"))
+    if found.unsplit:
+        frames.append(spark.read.schema(schema).option("multiLine", "true").json(
+            [_literal(f) for f in sorted(found.unsplit)]))
+    return reduce(DataFrame.unionAll, frames)
 
 
 def read_jsonl(spark: SparkSession, path, schema: str = CHAT_DDL) -> DataFrame:
