@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rescuelens import session
@@ -27,31 +27,48 @@ def help_posts(df: DataFrame, id_col: str, text_col: str, order: Sequence[str],
     return masks.audit_flags(first, rules).drop(sg.PHRASES)
 
 
-def tagged_input(df: DataFrame, start=None, end=None) -> DataFrame:
-    """Language and time filter of the tagged corpus; cheap, so ahead of the text search."""
+def tagged_stages(df: DataFrame, start=None, end=None) -> dict[str, Column]:
+    """Language and time tests of the tagged corpus; cheap, so ahead of the text search."""
     date = "date" if "date" in df.columns else None
-    return df.filter(masks.in_languages("language") & masks.in_window(date, start, end))
+    return {"after_language": masks.in_languages("language"), "after_time": masks.in_window(date, start, end)}
+
+
+def _tagged_signals(df: DataFrame, text: Column, rules: sg.SignalRules) -> tuple[DataFrame, Column, str | None]:
+    position = "coordinates" if "coordinates" in df.columns else None
+    return (sg.with_signals(df.withColumn("_text", text), "_text", rules),
+            masks.tagged_help_mask(position, rules), position)
+
+
+def _tagged_text(df: DataFrame) -> Column:
+    return masks.combined_text("content", "hashtags" if "hashtags" in df.columns else None)
+
+
+def tagged_matches(df: DataFrame, start=None, end=None, rules: sg.SignalRules = sg.TAGGED_RULES) -> DataFrame:
+    """Posts of the tagged corpus that pass its tests, with flags and their ``_text``. Needs no shuffle."""
+    tests = tagged_stages(df, start, end)
+    posts, mask, position = _tagged_signals(
+        df.filter(tests["after_language"] & tests["after_time"]), _tagged_text(df), rules)
+    return sg.without_signals(masks.tagged_audit_flags(posts.filter(mask), position, rules))
 
 
 def tagged_help_posts(df: DataFrame, order: Sequence[str], start=None, end=None,
                       rules: sg.SignalRules = sg.TAGGED_RULES) -> DataFrame:
-    """Same for the tagged corpus: strict mask, text of content and hashtags as key."""
-    tags = "hashtags" if "hashtags" in df.columns else None
-    position = "coordinates" if "coordinates" in df.columns else None
-    posts = tagged_input(df, start, end).withColumn("_text", masks.combined_text("content", tags))
-    posts = sg.with_signals(posts, "_text", rules).filter(masks.tagged_help_mask(position, rules))
-    first = dedup.first_per_key(posts, dedup.text_key("_text"), order)
-    return sg.without_signals(masks.tagged_audit_flags(first, position, rules)).drop("_text")
+    """Strict mask, then text of content and hashtags as key of the deduplication."""
+    return _first_tagged(tagged_matches(df, start, end, rules), order)
 
 
-def tagged_funnel(df: DataFrame, start=None, end=None) -> DataFrame:
-    """Rows read, left after language and time, and kept, as one row."""
-    date = "date" if "date" in df.columns else None
-    counts = funnel.stage_counts(df, {
-        "after_language": masks.in_languages("language"),
-        "after_time": masks.in_window(date, start, end)})
-    kept = tagged_help_posts(df, ["content"], start, end).agg(F.count("*").alias("n"))
-    return counts.withColumn("kept", kept.scalar())
+def _first_tagged(matches: DataFrame, order: Sequence[str]) -> DataFrame:
+    return dedup.first_per_key(matches, dedup.text_key("_text"), order).drop("_text")
+
+
+def tagged_funnel(df: DataFrame, start=None, end=None, rules: sg.SignalRules = sg.TAGGED_RULES) -> DataFrame:
+    """Rows read, left after language and time, and kept, as one row from one pass."""
+    tests = tagged_stages(df, start, end)
+    # texts of rows that are out already are not searched
+    passed = tests["after_language"] & tests["after_time"]
+    posts, mask, _ = _tagged_signals(df, F.when(passed, _tagged_text(df)), rules)
+    key = F.when(passed & mask, dedup.digest(dedup.text_key("_text")))
+    return posts.withColumn("_key", key).agg(*funnel.stage_columns(tests), F.count_distinct("_key").alias("kept"))
 
 
 @dataclass(frozen=True)
@@ -99,23 +116,28 @@ def run_filter(spark: SparkSession, corpus: Corpus, path, output: str, mode: str
     return result
 
 
+TAGGED_COUNTS = ("rows_read", "after_language", "after_time")
+
+
 def run_tagged_filter(spark: SparkSession, path, output: str, start=None, end=None) -> DataFrame:
     """Filter the tagged corpus from CSV into CSV; returns rows read, after language, after
     time, and kept.
 
-    The kept rows are staged like those of :func:`run_filter`.
+    The posts are read once. Their matches go to a staging table, before the deduplication: that job
+    has no shuffle, so the counts taken on the way have every row once, whatever is lost and run again.
     """
     posts = readers.read_tagged_posts(spark, path, order=True)
-    date = "date" if "date" in posts.columns else None
-    counts = funnel.stage_counts(posts, {
-        "after_language": masks.in_languages("language"),
-        "after_time": masks.in_window(date, start, end)})
-    kept = tagged_help_posts(posts, readers.SCAN_ORDER, start, end)
-    staging = session.fresh_path(spark, "kept")
-    kept.write.parquet(staging)
-    kept = spark.read.schema(kept.schema).parquet(staging)
-    writers.write_csv(kept.drop(*readers.SCAN_ORDER), output)
-    counts = counts.withColumn("kept", F.lit(kept.count()))
-    result = spark.createDataFrame(counts.collect(), counts.schema)
+    seen = Observation()
+    counted = posts.observe(seen, *funnel.stage_columns(tagged_stages(posts, start, end)))
+    matches = tagged_matches(counted, start, end)
+    staging = session.fresh_path(spark, "matches")
+    matches.write.parquet(staging)
+    counts = seen.get
+    staged = spark.read.schema(matches.schema).parquet(staging)
+    kept = Observation()
+    first = _first_tagged(staged, readers.SCAN_ORDER).drop(*readers.SCAN_ORDER)
+    writers.write_csv(first.observe(kept, F.count(F.lit(1)).alias("kept")), output)
+    result = spark.createDataFrame([tuple(int(counts[n]) for n in TAGGED_COUNTS) + (int(kept.get["kept"]),)],
+                                   ", ".join(f"{n} long" for n in (*TAGGED_COUNTS, "kept")))
     session.remove(spark, staging)
     return result

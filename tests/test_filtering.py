@@ -5,6 +5,7 @@ from rescuelens import lexicons as lx
 from rescuelens.functions import signals as sg
 from rescuelens.operators import dedup, masks
 from rescuelens.plans import filtering
+from rescuelens.sources import readers, writers
 from tests import brute
 from tests.conftest import plan_of
 from tests.samples import ALL
@@ -134,3 +135,34 @@ def test_word_lists_are_whole():
         "sos", "first_person", "offer", "location_word")} == {
             "sos": 26, "first_person": 17, "offer": 15, "location_word": 7}
     assert len(lx.PROVINCES) == 81
+
+
+def test_tagged_run_reads_its_posts_once(spark, tmp_path, monkeypatch):
+    rows = [(f"2023-02-0{k % 9 + 1}", f"ENKAZ altındayım, adres Van mah. {k % 40}", "tr" if k % 4 else "xx")
+            for k in range(400)]
+    writers.write_csv(spark.createDataFrame(rows, "date string, content string, language string"), str(tmp_path / "in"))
+    passed = spark.sparkContext.accumulator(0)
+    read = readers.read_tagged_posts
+
+    def counting(*args, **more):
+        df = read(*args, **more)
+
+        def run(batches):
+            for batch in batches:
+                passed.add(batch.num_rows)
+                yield batch
+        return df.mapInArrow(run, df.schema)
+
+    monkeypatch.setattr(readers, "read_tagged_posts", counting)
+    counts = filtering.run_tagged_filter(spark, str(tmp_path / "in"), str(tmp_path / "out"), "2023-02-03", None)
+    assert passed.value == 400
+    monkeypatch.undo()
+    df = read(spark, str(tmp_path / "in"))
+    assert counts.first() == filtering.tagged_funnel(df, "2023-02-03", None).first()
+    assert plan_of(filtering.tagged_funnel(spark.read.parquet(_as_parquet(df, tmp_path)))).count("FileScan") == 1
+    assert readers.read_csv(spark, str(tmp_path / "out")).count() == counts.first().kept > 1
+
+
+def _as_parquet(df, tmp_path):
+    df.write.parquet(str(tmp_path / "table"))
+    return str(tmp_path / "table")

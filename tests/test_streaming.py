@@ -7,6 +7,7 @@ from rescuelens.functions import signals as sg
 from rescuelens.operators import dedup, masks
 from rescuelens.plans import filtering
 from rescuelens.streaming import posts as streaming
+from tests.conftest import plan_of
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +93,63 @@ def test_counters_outlive_the_progress(spark, source, monkeypatch):
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
     kept = masks.keep_help_posts(batch, "post_text", sg.EVENT_RULES).count()
     assert [tuple(r) for r in got] == [(batch.count(), kept)]
+
+
+def test_a_hot_key_reaches_the_state_once_per_task(spark, tmp_path):
+    """A third of the posts have one key; all but one of them per task stop ahead of the state."""
+    rows = [(k, "same" if k % 3 == 0 else f"k{k}") for k in range(3000)]
+    path = str(tmp_path / "in")
+    spark.createDataFrame(rows, "n long, k string").repartition(2).write.parquet(path)
+    stream = spark.readStream.schema("n long, k string").option("maxFilesPerTrigger", 1).parquet(path)
+    query = run(streaming.distinct_posts(stream, F.col("k")).writeStream.format("parquet")
+                .option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")))
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 2001
+    states = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    # one file is one task here: the second brings the key once more
+    assert sum(s["customMetrics"]["numDroppedDuplicateRows"] for s in states) == 1
+
+
+def test_keys_are_forgotten(spark, tmp_path):
+    """State does not grow without bound: a key goes ``keep`` after it came."""
+    schema = "k string, n int"
+    for n in range(3):
+        spark.createDataFrame([(f"k{n}", n), ("again", n)], schema).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = run(streaming.distinct_posts(stream, F.col("k"), keep="0 seconds").writeStream.format("parquet")
+                .option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")))
+    left = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert left[-1] < 4 and spark.read.parquet(str(tmp_path / "o")).filter("k <> 'again'").count() == 3
+    for keep in ("30 days", None):
+        out = str(tmp_path / f"o{keep}")
+        run(streaming.distinct_posts(stream, F.col("k"), keep=keep).writeStream.format("parquet")
+            .option("path", out).option("checkpointLocation", str(tmp_path / f"c{keep}")))
+        assert spark.read.parquet(out).count() == 4
+
+
+def test_counts_of_many_batches_from_the_stream_itself(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "posts")
+    source = posts(spark, sf_dir).limit(200).repartition(30)
+    source.write.parquet(path)
+    batch = spark.read.parquet(path)
+    listener = streaming.FunnelCounts(spark, str(tmp_path / "counts"))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    spark.streams.addListener(listener)
+    try:
+        stream = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        run(streaming.help_stream(stream, "post_text").writeStream.format("parquet")
+            .option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    kept = spark.read.parquet(str(tmp_path / "o")).count()
+    assert [tuple(r) for r in streaming.counted(spark, str(tmp_path / "counts")).collect()] == [(200, kept)]
+    assert kept == masks.keep_help_posts(batch, "post_text", sg.EVENT_RULES).count()
+
+
+def test_counters_scan_a_batch_once(spark, source):
+    batch, _ = source
+    counts = streaming.read_and_kept(batch, "post_text")
+    assert plan_of(counts).count("FileScan") == 1
+    kept = masks.keep_help_posts(batch, "post_text", sg.EVENT_RULES).count()
+    assert tuple(counts.first()) == (batch.count(), kept)
