@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from rescuelens import session
 from rescuelens.catalog import filter_queries, label_queries, record_queries, sql
 from rescuelens.catalog.filter_queries import ID_KEY
-from rescuelens.catalog.relations import POSTS_SQL, posts, table
+from rescuelens.catalog.relations import POSTS_SQL, attempts, posts, table
 from rescuelens.operators import chat, labels
-from rescuelens.plans import filtering, training
+from rescuelens.plans import correction, filtering, generation, training
 from rescuelens.sources import readers, writers
 
 
@@ -194,7 +194,58 @@ def sink_roundtrip(spark, sf_dir):
         "split", chat.record_json(F.struct("user", "assistant")).alias("record"))
 
 
+def sink_sets(spark, sf_dir):
+    """Pairs as JSON arrays of the three sets, and back."""
+    folder = session.fresh_path(spark, "sets")
+    training.write_training_pairs(labels.label_posts(posts(spark, sf_dir), "post_text"), folder, label_queries.TRAIN,
+                                  label_queries.VAL, label_queries.TEST, label_queries.SEED, arrays=True)
+    return readers.read_json_sets(spark, folder, "split", training.SETS).select(
+        "split", chat.record_json(F.struct("user", "assistant")).alias("record"))
+
+
+def _stand_in(requests):
+    """Answers to correction requests: the record within some prose, or a way to fail."""
+    asked = F.element_at("messages", 2)["content"]
+    kind = F.substring("record_key", 1, 1)
+    return requests.filter(kind != "2").select("record_key", F.when(kind == "0", "I can't")
+        .when(kind == "1", F.concat(F.lit('{"user": '), asked)).otherwise(
+            F.concat(F.lit("Here you are:\n"), asked, F.lit("\nDone."))).alias("raw_text"))
+
+
+def correction_run(spark, sf_dir):
+    """Arrays of records corrected into arrays; what failed is kept with the reason."""
+    folder, output = session.fresh_path(spark, "records"), session.fresh_path(spark, "corrected")
+    pairs = labels.label_posts(posts(spark, sf_dir), "post_text").select("user", "assistant")
+    writers.write_json_array(pairs, folder)
+    correction.run_correction(spark, folder, _stand_in, "Correct this.", output)
+    done = readers.read_json_array(spark, f"{output}/corrected").select(
+        chat.record_json(F.struct("user", "assistant")).alias("record"), F.lit("ok").alias("state"))
+    return done.unionByName(spark.read.schema("record string, error string").json(f"{output}/failed")
+                            .withColumnRenamed("error", "state"))
+
+
+def crisis_run(spark, sf_dir):
+    """The flat corpus from TSV to CSV, read back: ids and how many posts without one."""
+    folder, output = session.fresh_path(spark, "crisis"), session.fresh_path(spark, "help")
+    writers.write_tsv(posts(spark, sf_dir).select(
+        F.col("post_id").alias("id"), F.col("post_text").alias("text"), F.col("language").alias("lang")), folder)
+    filtering.run_filter(spark, filtering.CRISIS, folder, output)
+    return readers.read_csv(spark, output).groupBy("id").agg(F.count("*").alias("n"))
+
+
+def synth_run(spark, sf_dir):
+    """A generator run with its stop rule: the examples written, and what they cost."""
+    output = session.fresh_path(spark, "examples")
+    totals = generation.run_generation(attempts(spark, sf_dir), output)
+    content = F.try_variant_get(F.parse_json("value"), "$.messages[1].content", "string")
+    # one row of totals beside the examples
+    total = totals.first()
+    return spark.read.text(output).select(F.md5(content).alias("digest"), F.lit(total.accepted).alias("accepted"),
+                                          F.lit(total.calls).alias("calls"))
+
+
 QUERIES = {
+    "sink_sets": sink_sets, "correction_run": correction_run, "crisis_run": crisis_run, "synth_run": synth_run,
     "scan_flat": scan_flat, "scan_headers": scan_headers, "scan_dates": scan_dates, "tagged_run": tagged_run,
     "scan_csv_split": scan_csv_split, "scan_json_split": scan_json_split,
     "sink_json_array": sink_json_array, "scan_tsv": scan_tsv, "filter_run": filter_run, "scan_skip_bad": scan_skip_bad,
@@ -237,6 +288,12 @@ ORACLES = {
     "scan_json_split": f"""WITH {POSTS_SQL} SELECT seq,
         md5('}}, {{"[\\' || post_text || chr(10) || ']}}') AS digest FROM posts""",
     "sink_json_array": f"SELECT record FROM ({_PAIRS})",
+    "correction_run": f"""SELECT record, CASE left(sha256(record), 1) WHEN '0' THEN 'no_object'
+        WHEN '1' THEN 'bad_json' WHEN '2' THEN 'no_answer' ELSE 'ok' END AS state FROM ({_PAIRS})""",
+    "crisis_run": f"""WITH {sql.signals("crisis", _FLAT.format("post_text"))}
+        SELECT nullif(post_id, '') AS id, count(DISTINCT {ID_KEY}) AS n
+        FROM sig WHERE {sql.kept("balanced")} GROUP BY 1""",
+    "synth_run": record_queries.SYNTH_RUN,
     "scan_csv": f"""WITH {POSTS_SQL} SELECT posted_at AS date,
         md5(nullif(post_text, '')) AS digest, hashtags, language, coordinates,
         CAST(seq AS VARCHAR) AS place FROM posts""",
@@ -254,3 +311,4 @@ ORACLES = {
                 + round_even({label_queries.VAL}::DOUBLE * n, 0) THEN 'val' ELSE 'test' END AS split
         FROM clustered c JOIN ranked r ON c.cluster = r.cluster""",
 }
+ORACLES["sink_sets"] = ORACLES["sink_roundtrip"]

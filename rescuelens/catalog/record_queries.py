@@ -241,6 +241,15 @@ accepted AS (SELECT attempt, content FROM (SELECT *, row_number() OVER (
         PARTITION BY content ORDER BY attempt) AS rn FROM checked
         WHERE reason IS NULL) WHERE rn = 1)"""
 
+#: the stop rule: 500 examples, or 1,500 attempts
+SYNTH_RUN = f"""WITH {_VALID},
+taken AS (SELECT * FROM accepted WHERE attempt <= {lx.SYNTHETIC_TARGET * lx.ATTEMPTS_PER_SAMPLE}
+          ORDER BY attempt LIMIT {lx.SYNTHETIC_TARGET})
+SELECT md5(content) AS digest, (SELECT count(*) FROM taken) AS accepted,
+    CASE WHEN (SELECT count(*) FROM taken) = {lx.SYNTHETIC_TARGET} THEN (SELECT max(attempt) FROM taken)
+    ELSE (SELECT count(*) FROM attempts WHERE attempt <= {lx.SYNTHETIC_TARGET * lx.ATTEMPTS_PER_SAMPLE}) END AS calls
+FROM taken"""
+
 _FIRST = """first AS (SELECT conv_id,
     coalesce(arg_min(text, turn) FILTER (WHERE role = 'system' AND text <> ''), '') AS system_text,
     coalesce(arg_min(text, turn) FILTER (WHERE role = 'user' AND text <> ''), '') AS user_text,

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rescuelens import session
 from rescuelens.operators import chat, labels, splits
 from rescuelens.sources import columns, writers
 
+SETS = ("train", "val", "test")
+
 
 def training_pairs(df: DataFrame, text_col: str | None = None, max_rows: int | None = None,
                    order: tuple[str, ...] = ()) -> DataFrame:
@@ -22,23 +24,35 @@ def training_pairs(df: DataFrame, text_col: str | None = None, max_rows: int | N
 
 
 def write_training_pairs(pairs: DataFrame, output: str, train: float = 1.0, val: float = 0.0,
-                         test: float = 0.0, seed: int = 42) -> DataFrame:
+                         test: float = 0.0, seed: int = 42, arrays: bool = False, indent: bool = False
+                         ) -> DataFrame:
     """Write the pairs, split by cluster unless all of them are for training.
 
-    Returns the number of pairs per set. Splitting reads its input twice, so labelled
-    pairs go to a staging table in the shared folder first.
+    They are JSON lines, or JSON arrays, then one folder per set in either case. Returns the number of
+    pairs per set. Splitting reads its input twice, so labelled pairs go to a staging table in the
+    shared folder first.
     """
     splits.check_ratios(train, val, test)
     spark = pairs.sparkSession
     if val == 0.0 and test == 0.0:
+        if arrays:
+            kept = Observation()
+            writers.write_json_array(pairs.drop("_cluster").observe(kept, F.count(F.lit(1)).alias("n")), output, indent)
+            return spark.createDataFrame([("train", int(kept.get["n"]))], "split string, n long")
         writers.write_pairs(pairs, output)
         return spark.read.schema("user string").json(output).agg(F.count("*").alias("n")).select(
             F.lit("train").alias("split"), "n")
     staging = session.fresh_path(spark, "pairs")
     pairs.write.parquet(staging)
     staged = spark.read.schema(pairs.schema).parquet(staging)
-    writers.write_pairs(splits.cluster_split(staged, "_cluster", train, val, test, seed),
-                        output, "split")
+    split = splits.cluster_split(staged, "_cluster", train, val, test, seed)
+    if arrays:
+        sizes = splits.split_sizes(split)
+        sizes = spark.createDataFrame(sizes.collect(), sizes.schema)
+        writers.write_json_sets(split.drop("_cluster"), output, "split", SETS, indent)
+        session.remove(spark, staging)
+        return sizes
+    writers.write_pairs(split, output, "split")
     session.remove(spark, staging)
     return splits.split_sizes(spark.read.schema("user string, split string").json(output))
 

@@ -338,6 +338,13 @@ def read_json_array(spark: SparkSession, path, schema: str = PAIR_DDL) -> DataFr
     return reduce(DataFrame.unionAll, frames)
 
 
+def read_json_sets(spark: SparkSession, path: str, set_col: str, sets: Sequence[str],
+                   schema: str = PAIR_DDL) -> DataFrame:
+    """What :func:`writers.write_json_sets` has written, with the set as last column."""
+    return reduce(DataFrame.unionAll, [read_json_array(spark, f"{path}/{set_col}={name}", schema)
+                                       .withColumn(set_col, F.lit(name)) for name in sets])
+
+
 def read_jsonl(spark: SparkSession, path, schema: str = CHAT_DDL) -> DataFrame:
     """One JSON record per line."""
     return spark.read.schema(schema).json(path)

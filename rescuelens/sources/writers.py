@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,9 +39,12 @@ def write_json_array(df: DataFrame, path: str, indent: bool = False) -> None:
     A part is one task's rows, record by record, so its size follows the input splits and no
     row is held back.
     """
-    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false", "pretty": str(indent).lower()})
+    write_json_texts(df.select(_record(F.struct("*"), indent).alias("value")), path)
+
 
-    def framed(frames):
+def write_json_texts(df: DataFrame, path: str) -> None:
+    """The same for records that are JSON already, in the only column."""
+    def framed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # brackets and commas around the records of one task
         first = True
         for frame in frames:
@@ -51,8 +57,40 @@ def write_json_array(df: DataFrame, path: str, indent: bool = False) -> None:
         yield pd.DataFrame({"value": ["[]" if first else "]"]})
 
     # a task that ends with nothing writes an empty array; the reader skips it
-    df.select(record.alias("value")).mapInPandas(framed, "value string").write.mode(
-        "overwrite").option("extension", "json").text(path)
+    df.toDF("value").mapInPandas(framed, "value string").write.mode("overwrite").option("extension", "json").text(path)
+
+
+def _record(record: Column, indent: bool = False) -> Column:
+    return F.to_json(record, {"ignoreNullFields": "false", "pretty": str(indent).lower()})
+
+
+def write_json_sets(df: DataFrame, path: str, set_col: str, sets: Sequence[str], indent: bool = False) -> None:
+    """One folder ``set_col=...`` per set, of parts that each hold one JSON array of the other columns.
+
+    Every set has a part, if only an empty array. A task writes one part per set; a part is seen only
+    once the whole job has succeeded, so failed tasks leave nothing.
+    """
+    rows = df.select(F.col(set_col).cast("string").alias("of"),
+                     _record(F.struct(*(c for c in df.columns if c != set_col)), indent).alias("value"))
+
+    def framed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # n is the order in the part: brackets and commas have to stay where they are
+        written = dict.fromkeys(sets, 0) if TaskContext.get().partitionId() == 0 else {}
+        for frame in frames:
+            for of, own in frame.groupby("of", sort=False):
+                n = written.get(of, 0)
+                values = "," + own["value"]
+                if n == 0:
+                    values.iloc[0] = "[" + own["value"].iloc[0]
+                yield pd.DataFrame({"of": of, "n": range(n, n + len(own)), "value": values.to_numpy()})
+                written[of] = n + len(own)
+        yield pd.DataFrame([(of, n, "]" if n else "[]") for of, n in written.items()], columns=["of", "n", "value"])
+
+    if df.rdd.getNumPartitions() == 0:
+        rows = rows.repartition(1)
+    (rows.mapInPandas(framed, "of string, n long, value string").sortWithinPartitions("of", "n")
+     .select(F.col("of").alias(set_col), "value").write.mode("overwrite").partitionBy(set_col)
+     .option("extension", "json").text(path))
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
