@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rescuelens import lexicons as lx
 from rescuelens.functions import text
@@ -29,26 +30,32 @@ def json_slice(c: Column | str) -> Column:
     return F.when(found, F.substring(column, start, after - start + 1))
 
 
-def is_one_object(json: Column) -> Column:
-    listed = F.concat(F.lit("["), json, F.lit("]"))
-    return F.coalesce(F.try_parse_json(listed).isNotNull()
-                      & (F.json_array_length(listed) == 1)
-                      & F.startswith(json, F.lit("{")), F.lit(False))
+def _in_brackets(json: Column) -> Column:
+    """The text as a parsed array, which tells one object from several in a row."""
+    return F.try_parse_json(F.concat(F.lit("["), json, F.lit("]")))
 
 
-def with_envelope(df: DataFrame, raw_col: str) -> DataFrame:
+def _first(listed: Column) -> Column:
+    """Its only element; null if there are more, or none."""
+    return F.when(F.try_variant_get(listed, "$[1]", "variant").isNull(), F.try_variant_get(listed, "$[0]", "variant"))
+
+
+def with_envelope(df: DataFrame, raw_col: str, value: str | None = None) -> DataFrame:
     """Add ``raw_text, is_json, parsed, error``. Bad answers stay in the table as data.
 
-    ``parsed`` is the JSON text, ready for ``try_parse_json`` or ``from_json``.
+    ``parsed`` is the JSON text, ready for ``from_json``. It is parsed once; ``value`` names a column
+    that keeps what came of it.
     """
     df = text.evaluate_once(df, "_json", json_slice(F.coalesce(F.col(raw_col), F.lit(""))))
-    df = text.evaluate_once(df, "_valid", is_one_object(F.col("_json")))
+    df = text.evaluate_once(df, "_listed", _in_brackets(F.col("_json")))
+    df = text.evaluate_once(df, "_value", F.when(F.startswith("_json", F.lit("{")), _first(F.col("_listed"))))
+    valid = F.col("_value").isNotNull()
     return df.select(
-        *[F.col(c) for c in df.columns if c not in ("_json", "_valid", raw_col)],
-        F.col(raw_col).alias("raw_text"), F.col("_valid").alias("is_json"),
-        F.when(F.col("_valid"), F.col("_json")).alias("parsed"),
-        F.when(F.col("_json").isNull(), NO_OBJECT)
-         .when(~F.col("_valid"), BAD_JSON).alias("error"))
+        *[F.col(c) for c in df.columns if c not in ("_json", "_listed", "_value", raw_col)],
+        F.col(raw_col).alias("raw_text"), valid.alias("is_json"),
+        F.when(valid, F.col("_json")).alias("parsed"),
+        F.when(F.col("_json").isNull(), NO_OBJECT).when(~valid, BAD_JSON).alias("error"),
+        *([F.col("_value").alias(value)] if value else []))
 
 
 def valid_rate(df: DataFrame, by: str) -> DataFrame:
@@ -71,54 +78,59 @@ class Profile:
 RUNTIME = Profile(None, lx.RUNTIME_POST_TYPES, cluster_key=False)
 CORRECTED = Profile(lx.CORRECTED_NEEDS, lx.CORRECTED_POST_TYPES, cluster_key=True)
 
+_FIELDS = "map<string,variant>"
 _WHOLE = r"^(BIGINT|DECIMAL\([0-9]+,0\))$"
 _NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*\))$"
 
 
 def with_violations(df: DataFrame, json_col: str, profile: Profile,
-                    name: str = "violations") -> DataFrame:
+                    name: str = "violations", value: str | None = None) -> DataFrame:
     """Add the broken rules of a JSON label, as ``field:rule`` texts in schema order.
 
     Rules: ``missing`` key, wrong ``type``, ``value`` outside the vocabulary or range,
     and one ``extra:<key>`` for every key the schema does not have. A text that is no
     object gives the single entry ``object``.
 
-    The text is parsed once; all checks read the parsed value and the two key lists.
+    The text is parsed once, or not at all where ``value`` names a column of parsed answers; all
+    checks read that value and its two maps of keys.
     """
     json = F.col(json_col)
-    df = text.evaluate_once(df, "_value", F.when(is_one_object(json), F.try_parse_json(json)))
-    df = text.evaluate_once(df, "_keys", F.struct(
-        F.json_object_keys(json).alias("top"),
-        F.json_object_keys(F.get_json_object(json, "$.location")).alias("place")))
-    value = F.col("_value")
+    if value is None:
+        df = text.evaluate_once(df, "_listed", _in_brackets(json))
+        parsed = F.when(F.startswith(json, F.lit("{")), _first(F.col("_listed")))
+    else:
+        parsed = F.col(value)
+    df = text.evaluate_once(df, "_top", F.try_variant_get(parsed, "$", _FIELDS))
+    df = text.evaluate_once(df, "_place", F.try_variant_get(F.col("_top")["location"], "$", _FIELDS))
+
+    def value_of(path: str) -> Column:
+        names = path.split(".")
+        return F.col("_top" if len(names) == 2 else "_place")[names[-1]]
 
     def kind(path: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+        return F.schema_of_variant(value_of(path))
 
     def field(path: str, types: str, rule: Column | None = None) -> Column:
         label = F.lit(path[2:])
-        known = F.col("_keys.top" if path.count(".") == 1 else "_keys.place")
-        present = F.coalesce(F.array_contains(known, path.rsplit(".", 1)[1]), F.lit(False))
-        check = (F.when(~present, F.concat(label, F.lit(":missing")))
-                 .when(~F.coalesce(kind(path), F.lit("VOID")).rlike(types),
-                       F.concat(label, F.lit(":type"))))
+        check = (F.when(value_of(path).isNull(), F.concat(label, F.lit(":missing")))
+                 .when(~kind(path).rlike(types), F.concat(label, F.lit(":type"))))
         if rule is not None:
             check = check.when(~F.coalesce(rule, F.lit(True)), F.concat(label, F.lit(":value")))
         return check
 
     def string(path: str) -> Column:
-        return F.try_variant_get(value, path, "string")
+        return F.try_variant_get(value_of(path), "$", "string")
 
     def share(path: str) -> Column:
-        return F.try_variant_get(value, path, "double").between(0.0, 1.0)
+        return F.try_variant_get(value_of(path), "$", "double").between(0.0, 1.0)
 
     def all_in(path: str, allowed) -> Column:
-        values = F.try_variant_get(value, path, "array<string>")
+        values = F.try_variant_get(value_of(path), "$", "array<string>")
         return F.size(F.array_except(values, F.array(*map(F.lit, allowed)))) == 0
 
     text_list = r"^ARRAY<(STRING|VOID)>$"
     nullable_text = r"^(STRING|VOID)$"
-    is_place = F.coalesce(kind("$.location"), F.lit("")).startswith("OBJECT")
+    is_place = F.col("_place").isNotNull()
     checks = [
         field("$.needs", text_list, all_in("$.needs", profile.needs) if profile.needs else None),
         field("$.urgency", "^STRING$", string("$.urgency").isin(*lx.URGENCY_VALUES)),
@@ -136,11 +148,11 @@ def with_violations(df: DataFrame, json_col: str, profile: Profile,
     ]
     if lx.CLUSTER_KEY in profile.keys:
         checks.append(field(f"$.{lx.CLUSTER_KEY}", nullable_text))
-    unknown = F.array_except("_keys.top", F.array(*map(F.lit, profile.keys)))
+    unknown = F.array_except(F.map_keys("_top"), F.array(*map(F.lit, profile.keys)))
     extra = F.transform(F.array_sort(unknown), lambda k: F.concat(F.lit("extra:"), k))
     return df.withColumn(name, F.when(
-        value.isNotNull(), F.concat(F.array_compact(F.array(*checks)), extra)
-    ).otherwise(F.array(F.lit("object")))).drop("_value", "_keys")
+        F.col("_top").isNotNull(), F.concat(F.array_compact(F.array(*checks)), extra)
+    ).otherwise(F.array(F.lit("object")))).drop("_listed", "_top", "_place")
 
 
 def parse_label(json: Column) -> Column:
@@ -148,6 +160,30 @@ def parse_label(json: Column) -> Column:
     return F.from_json(json, LABEL_DDL)
 
 
+def label_of(value: Column) -> Column:
+    """The same from a parsed answer. A field of another type than the schema's is null."""
+    def typed(path: str, types: str, target: str) -> Column:
+        kind = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+        return F.when(kind.rlike(types), F.try_variant_get(value, path, target))
+
+    def field(struct: T.StructType, prefix: str) -> list[Column]:
+        out = []
+        for f in struct.fields:
+            path, name = f"{prefix}.{f.name}", f.dataType.simpleString()
+            if isinstance(f.dataType, T.StructType):
+                is_object = F.schema_of_variant(F.try_variant_get(value, path, "variant")).startswith("OBJECT")
+                out.append(F.when(is_object, F.struct(*field(f.dataType, path))).alias(f.name))
+            else:
+                out.append(typed(path, _KINDS[name], name).alias(f.name))
+        return out
+
+    return F.when(value.isNotNull(), F.struct(*field(T.StructType.fromDDL(LABEL_DDL), "$")))
+
+
+_KINDS = {"string": "^STRING$", "boolean": "^BOOLEAN$", "double": _NUMBER, "bigint": _WHOLE,
+          "array<string>": "^ARRAY<"}
+
+
 # --- defaults, translation, repair ---------------------------------------------------
 
 def with_defaults(label: Column) -> Column:

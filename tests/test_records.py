@@ -165,3 +165,20 @@ def test_prompt_and_request(spark):
                     chat.correction_messages("fix", F.struct("a", "b", "c"))).first()
     assert row[0] == "x çığ y"
     assert [tuple(m) for m in row[1]] == [("system", "fix"), ("user", '{"a":1,"b":null,"c":"çığ"}')]
+
+
+def test_an_answer_is_parsed_once(spark):
+    rows = [('So: {"needs":["su"],"people_count":3} ok',), ('{"needs":5,"people_count":"12"}',), ("{} , null, {}",),
+            ('{"a":1}{"b":2}',), ("[{}]",), ('{"location":{"province":"Van","geo_confidence":"x"}}',), ("no",), (None,),
+            ('{"urgency":7,"people_count":3.0,"confidence":1,"life_threatening":"true","vulnerable_groups":[1,null]}',)]
+    out = review.review_answers(spark.createDataFrame(rows, "raw string"), "raw")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and "from_json" not in plan and "json_object_keys" not in plan
+    got = [(r.is_json, r.label) for r in out.collect()]
+    # the slice of the fifth is the object in the list
+    assert [g[0] for g in got] == [True, True, False, False, True, True, False, False, True]
+    assert got[0][1].people_count == 3 and got[0][1].needs == ["su"]
+    assert got[1][1].people_count is None and got[1][1].needs == []
+    assert got[5][1].location.province == "Van" and got[5][1].location.geo_confidence == 0.0
+    last = got[8][1]
+    assert (last.urgency, last.people_count, last.confidence, last.life_threatening) == (None, None, 1.0, None)
