@@ -10,6 +10,7 @@ from rescuelens.catalog import sql
 from rescuelens.catalog.relations import POSTS_SQL, documents, posts, quoted
 from rescuelens.functions import text
 from rescuelens.operators import answers, chat, labels, splits
+from rescuelens.plans import training
 
 TRAIN, VAL, TEST, SEED = 0.8, 0.1, 0.1, 42
 
@@ -27,6 +28,30 @@ def norm_text(spark, sf_dir):
     return df.select("seq", F.md5("n").alias("digest"), F.length("n").alias("chars"))
 
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+_WIDE = "".join(chr(ord(c) + 0xFEE0) for c in _LETTERS)
+
+
+def norm_nfkc(spark, sf_dir):
+    """Posts written in full-width letters and digits have the normal form of the plain ones."""
+    wide = posts(spark, sf_dir).withColumn("wide", F.translate("post_text", _LETTERS, _WIDE))
+    return text.with_norm_text(wide, "wide", "n").select("seq", F.md5("n").alias("digest"))
+
+
+def label_map(spark, sf_dir):
+    """A caller's own labeller over whole texts, in batches."""
+    def counted(frame):
+        post = frame["post_text"].fillna("")
+        return frame[["seq"]].assign(marks=post.str.count(r"[.!?]"), chars=post.str.len())
+    return labels.map_records(posts(spark, sf_dir).select("seq", "post_text"), counted, "seq long, marks long, chars long")
+
+
+def pairs_found_column(spark, sf_dir):
+    """Pairs of a table whose text column has to be found by its name."""
+    df = posts(spark, sf_dir).select(F.col("file").alias("origin"), F.col("post_text").alias("Text"), "language")
+    return training.training_pairs(df).select(F.md5("user").alias("digest"))
+
+
 def cluster_id(spark, sf_dir):
     return text.with_cluster_id(documents(spark, sf_dir), "text").select(
         "doc_id", "cluster_id")
@@ -115,6 +140,7 @@ def label_translate(spark, sf_dir):
 
 
 QUERIES = {
+    "norm_nfkc": norm_nfkc, "label_map": label_map, "pairs_found_column": pairs_found_column,
     "norm_text": norm_text, "cluster_id": cluster_id, "cluster_sizes": cluster_sizes,
     "cluster_split": cluster_split, "split_sizes": split_sizes,
     "label_needs": label_needs, "label_evidence": label_evidence,
@@ -278,6 +304,10 @@ CLUSTERED_PAIRS = _label(f"{_RECORD} AS record, cluster")
 ORACLES = {
     "norm_text": f"""WITH {POSTS_SQL} SELECT seq, md5({_CLEAN}) AS digest,
         CAST(length({_CLEAN}) AS INTEGER) AS chars FROM posts""",
+    "norm_nfkc": f"WITH {POSTS_SQL} SELECT seq, md5({_CLEAN}) AS digest FROM posts",
+    "label_map": f"""WITH {POSTS_SQL} SELECT seq, CAST(len(regexp_extract_all(coalesce(post_text, ''), '[.!?]')) AS BIGINT)
+        AS marks, CAST(length(coalesce(post_text, '')) AS BIGINT) AS chars FROM posts""",
+    "pairs_found_column": f"WITH {POSTS_SQL} SELECT md5({_CLEAN}) AS digest FROM posts",
     "cluster_id": f"SELECT doc_id, {_cluster('text')} AS cluster_id FROM documents",
     "cluster_sizes": f"""SELECT substr(cluster, 1, 12) AS cluster_id, count(*) AS n
         FROM (SELECT {_cluster_digest('text')} AS cluster FROM documents) GROUP BY cluster""",
