@@ -1,11 +1,15 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one per block element; menus, headers, footers, sidebars, forms,
-adverts, notices and reader comments leave a gap of empty lines. Where article elements hold enough
-of the text (``ARTICLE_SHARE``), all their lines are kept. On other pages the length of text outside
-links is summed over windows of ``WINDOW`` lines. The text begins where the sum surges over a threshold
-and ends where it dives to zero; all lines between are kept. The threshold follows short pages: it
-is never more than half the largest sum of the page.
+Markup is stripped into lines, one per block element. Menus, headers, footers, sidebars, forms,
+adverts, notices and reader comments are left out, and leave nothing that could part the text around
+them. Every line has a weight: the length of its text outside links, or nothing if most of it is in links.
+Weights are summed over windows of ``WINDOW`` lines. The text begins where the sum surges over a
+threshold and ends where it dives to zero; all lines between are kept. The threshold follows short
+pages: it is never more than half the largest sum of the page.
+
+Article elements are one of the signals. Where they hold enough of the text (``ARTICLE_SHARE``), lines
+outside them have no weight and no part in the text, and every line inside weighs at least as much as a
+surge takes: it is kept, however short, linked or cut off from the others.
 
 Character references are decoded after markup is read. White space inside a block is one space;
 a line break tag is white space. Blocks are joined by one line feed. Null and empty pages, and
@@ -50,6 +54,14 @@ NAMES = frozenset(
     "related recommended newsletter subscribe subscription popup modal overlay notice notification "
     "alert disclaimer footer masthead toolbar pagination pager login signup search widget".split())
 HEADERS = frozenset("header topbar".split())
+#: words in a name that only say where or how
+PLACES = frozenset(
+    "site page main top bottom left right inner outer wrap wrapper container box block area section row col column "
+    "list item items unit slot bar panel group link links button buttons icon icons form field title heading "
+    "thread author meta body the a b c id primary secondary global sticky fixed float floating in on inline "
+    "post posts article entry user users reader readers holder placeholder".split())
+#: parts of an article that are never beside it for their names
+PARAGRAPHS = frozenset("p section h1 h2 h3 h4 h5 h6 li figure figcaption blockquote pre table td th".split())
 #: names that win over the ones above
 CONTENT = frozenset("article content post entry main story body text".split())
 
@@ -62,10 +74,28 @@ _TOKEN = re.compile(
     r"|<(?P<bad>/?[a-z][^>]*+)(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)", re.I | re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_END = re.compile(r"</([a-z][a-z0-9:-]*)\s*>", re.I)
 _NAME_PARTS = re.compile(r"[a-z]+", re.I)
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+def _is_name_beside(value: str, in_article: bool) -> bool:
+    """Whether one of the names in a class or id marks a part beside the text.
+
+    A name counts whole, or if all its parts do or only say where or how: ``site-footer`` does,
+    ``share-price`` does not.
+    """
+    for name in value.split():
+        parts = {p.lower() for p in _NAME_PARTS.findall(_HUMP.sub(" ", name))}
+        if not parts or parts & CONTENT and not parts & {"comments", "sidebar"}:
+            continue
+        if parts & NAMES and parts <= NAMES | HEADERS | PLACES | CONTENT:
+            return True
+        if parts & HEADERS and parts <= HEADERS | PLACES and not in_article:
+            return True
+    return False
+
+
 def _is_beside(tag: str, rest: str, in_article: bool) -> bool:
     if tag in BESIDE or (tag == "header" and not in_article):
         return True
@@ -81,12 +111,8 @@ def _is_beside(tag: str, rest: str, in_article: bool) -> bool:
         elif name == "role":
             if value.lower() in ROLES:
                 return True
-        else:
-            parts = {p.lower() for p in _NAME_PARTS.findall(_HUMP.sub(" ", value))}
-            if parts & NAMES and not parts & CONTENT or "comments" in parts or "sidebar" in parts:
-                return True
-            if parts & HEADERS and not in_article and not parts & CONTENT:
-                return True
+        elif not (in_article and tag in PARAGRAPHS) and _is_name_beside(value, in_article):
+            return True
     return False
 
 
@@ -100,9 +126,11 @@ class _Line:
 
 
 def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """(text, characters that count, whether in an article) of every block; gaps are empty."""
+    """(text, weight, whether in an article) of every block with text."""
     out: list[tuple[str, int, bool]] = []
     line = _Line(False)
+    # an element that never ends is no part beside the text
+    last_end = {m[1].lower(): m.start() for m in _END.finditer(html)}
     skipped, depth, links, article = "", 0, 0, 0
 
     def end_line() -> None:
@@ -147,9 +175,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             article = max(0, article + (-1 if closing else 1))
             line.article = article > 0
         elif not closing and tag not in VOID and _is_beside(tag, token["rest"] or "", article > 0):
-            if _closes(html, at, tag):
+            if last_end.get(tag, -1) >= at:
                 end_line()
-                out.extend([("", 0, False)] * WINDOW)
                 skipped, depth = tag, 1
         elif tag in BLOCKS:
             end_line()
@@ -162,36 +189,34 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     return out
 
 
-def _closes(html: str, at: int, tag: str) -> bool:
-    """Whether an element ends at all; if not, its start is ignored rather than the page."""
-    return re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at) is not None
-
-
-def main_text(html: str) -> str:
-    lines = lines_of(html)
-    weights = [weight for _, weight, _ in lines]
-    inside = [weight if article else 0 for _, weight, article in lines]
-    if any(inside) and sum(inside) >= ARTICLE_SHARE * sum(weights):
-        # the article bounds the text: nothing in it is lost to the gaps of removed parts
-        return "\n".join(text for text, _, article in lines if text and article)
-    if not any(weights):
-        return ""
+def stretches(weights: list[int]) -> Iterator[tuple[int, int]]:
+    """Where the text is: from a surge of the windows' sums to the dive after it."""
     sums = [sum(weights[k:k + WINDOW]) for k in range(len(weights))]
-    surge = min(SURGE, max(sums) / 2)
-    kept: list[str] = []
+    surge = min(SURGE, max(sums, default=0) / 2)
     k = 0
-    while k < len(lines):
+    while surge and k < len(weights):
         if sums[k] < surge:
             k += 1
             continue
         stop = k
-        while stop < len(lines) and sums[stop] > 0:
+        while stop < len(weights) and sums[stop]:
             stop += 1
-        while k < stop and not weights[k]:
+        # the window sees the first line of weight before it is there
+        while not weights[k]:
             k += 1
-        kept.extend(text for text, _, _ in lines[k:stop] if text)
-        k = max(stop, k + 1)
-    return "\n".join(kept)
+        yield k, stop
+        k = stop + 1
+
+
+def main_text(html: str) -> str:
+    lines = lines_of(html)
+    weights = [weight for _, weight, _ in lines]
+    inside = [weight if article else 0 for _, weight, article in lines]
+    articles = any(inside) and sum(inside) >= ARTICLE_SHARE * sum(weights)
+    if articles:
+        weights = [max(weight, SURGE) if article else 0 for _, weight, article in lines]
+    return "\n".join(text for start, stop in stretches(weights) for text, _, article in lines[start:stop]
+                     if article or not articles)
 
 
 def extracted(pages: DataFrame) -> DataFrame:

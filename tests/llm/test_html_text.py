@@ -73,3 +73,70 @@ def test_short_lines_between_removed_parts_of_an_article():
         + f"{beside[0]}<ul><li>one</li></ul>{beside[1]}<figcaption>caption</figcaption></article><p>Not in it</p>")
     want = ["The title of the page", long.strip(), *[f"A short line, number {k}." for k in range(4)], "one", "caption"]
     assert main_text(page) == "\n".join(want)
+
+
+def test_no_article_and_removed_parts_within():
+    aside = "<aside><p>beside</p></aside>"
+    assert main_text(f"<p>{LONG}</p><div class=ad><p>Buy</p></div><p>The end.</p>") == f"{LONG}\nThe end."
+    assert main_text(f"<p>{LONG}</p>{aside}<p>Short.</p>{aside}<p>{LONG}</p>") == f"{LONG}\nShort.\n{LONG}"
+
+
+def test_names_of_an_article_s_own_parts():
+    page = ("<article><section id=privacy><p>One.</p></section><p class='share-price'>Two.</p>"
+            "<h2 id=sidebar>Three</h2><p id='notice-of-appeal'>Four.</p><div class='ad-slot'>Buy</div>"
+            "<div class=share-price>Five.</div><div class='comment-list'>reader</div></article>")
+    assert main_text(page) == "One.\nTwo.\nThree\nFour.\nFive."
+
+
+def test_whole_names_outside_of_an_article():
+    beside = "".join(f"<div class='{n}'>{LONG}</div>" for n in (
+        "site-footer", "cookieBanner", "main nav", "widget_area", "post-comments", "share-buttons", "topbar"))
+    kept = "".join(f"<div class='{n}'>{LONG}</div>" for n in ("share-price", "search-engines", "header-of-the-house"))
+    assert main_text(beside) == ""
+    assert main_text(beside + kept) == "\n".join([LONG] * 3)
+
+
+def plain_stretches(weights):
+    """Line by line: in the text or not, from what the windows hold."""
+    sums = [sum(weights[k:k + 3]) for k in range(len(weights))]
+    least = min(80, max(sums, default=0) / 2)
+    inside, out = False, []
+    for k, total in enumerate(sums):
+        if inside and total == 0:
+            inside = False
+        elif not inside and least and total >= least:
+            inside = True
+        out.append(inside)
+    # lines without weight ahead of the text are not part of it
+    begun = False
+    for k, on in enumerate(out):
+        begun = begun and on
+        if on and not begun:
+            begun = out[k] = bool(weights[k])
+    return [k for k, on in enumerate(out) if on]
+
+
+def test_surge_and_dive_against_a_plain_scan():
+    import random
+    rng = random.Random(3)
+    for _ in range(3000):
+        weights = [rng.choice([0, 0, 0, 5, 30, 200]) for _ in range(rng.randrange(25))]
+        got = [k for start, stop in html_text.stretches(weights) for k in range(start, stop)]
+        assert got == plain_stretches(weights), weights
+
+
+def test_every_page_goes_through_the_windows(spark, sf_dir, monkeypatch):
+    calls = []
+    real = html_text.stretches
+    monkeypatch.setattr(html_text, "stretches", lambda weights: calls.append(len(weights)) or real(weights))
+    pages = [r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("html").collect()]
+    texts = [html_text.main_text(h or "") for h in pages]
+    assert len(calls) == len(pages) and all(texts)
+
+
+def test_unclosed_parts_take_linear_time():
+    import time
+    page = "<aside>" * 20_000 + f"<p>{LONG}</p>"
+    began = time.perf_counter()
+    assert main_text(page) == LONG
+    assert time.perf_counter() - began < 5
