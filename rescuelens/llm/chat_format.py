@@ -7,10 +7,12 @@ rewritten history, and the turn is marked. Within a span the text's place is fou
 the turn once more with a text that occurs nowhere else. The texts of trained roles are the loss
 spans; only their characters count.
 
-Rows are dealt to runs of ``RUN_TURNS`` turn numbers of a conversation, so a conversation of any
-length is many tasks' work and prefixes stay short. A run starts from the last turn of the run
-before, and the last turn of a run is rendered from the start of the run and from its
-predecessor alone: a template that looks further back than one turn is marked as well.
+A conversation is rendered whole up to ``RUN_TURNS`` turns: every prefix from its first turn, so a
+template that changes anything before is found however far back it looks. Prefixes of ever longer
+conversations would cost the square of their length in one task. They are therefore dealt to runs of
+``RUN_TURNS`` turn numbers, and a run starts from the last turn of the run before. Its last turn is rendered
+from the start of the run and from its predecessor alone, and marked if that differs. What a template
+does with turns more than a run back is not seen.
 
 ``marked_turns`` is the production template. It escapes its own control strings within roles and
 texts with a backslash; ``read_turn`` reads a span back.
@@ -29,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RUN_TURNS = 16
+#: turns whose prefixes are rendered together
+RUN_TURNS = 1024
 TRAINED = ("assistant",)
 
 Turns = list[tuple[str, str]]

@@ -71,7 +71,23 @@ ROWS = ([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 1, "assistant", "b")
            (4, 16, "user", "only"), (4, 40, "assistant", "gap"), (5, 0, "assistant", "long \\" * 50_000)])
 
 
-def test_against_brute_force(spark):
+def test_history_rewritten_from_far_away(spark):
+    """A tool turn changes what was said in the first turn, twenty or a thousand turns before."""
+    def notes_tools(turns):
+        note = " (has tools)" if any(r == "tool" for r, _ in turns) else ""
+        return "".join(f"[{r}{note if k == 0 else ''}]{t}" for k, (r, t) in enumerate(turns))
+
+    for at, n in ((20, 40), (900, 901)):
+        turns = [("system", "s")] + [("tool" if k == at else ("user", "assistant")[k % 2], f"t{k}") for k in range(1, n)]
+        frame = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(turns)],
+                                      "conv_id long, turn long, role string, text string")
+        marks = {r.place: r.appended for r in cf.formatted(frame, notes_tools).collect()}
+        assert [k for k, appended in marks.items() if not appended] == [at] and len(marks) == n
+
+
+@pytest.mark.parametrize("turns", [16, 1024])
+def test_against_brute_force(spark, monkeypatch, turns):
+    monkeypatch.setattr(cf, "RUN_TURNS", turns)
     frame = spark.createDataFrame([(*r, "extra") for r in ROWS],
                                   "conv_id long, turn long, role string, text string, span string")
     spans = cf.formatted(frame)
