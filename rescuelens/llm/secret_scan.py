@@ -1,10 +1,12 @@
 """Secret scan: fixed patterns, and random strings shown by a token-efficiency test.
 
-A subword vocabulary writes words and names with few tokens and random strings with many. Runs of
-``LEAST_CHARS`` or more characters of ``[A-Za-z0-9+/_-]`` with letters and digits are encoded;
-fewer than ``LEAST_RATIO`` characters per token expose a random string. Known digests (hex of the
-usual lengths), UUIDs, dates and names made of words and numbers are left out first, and so is
-what lies within a span of a fixed pattern.
+A subword vocabulary writes words and names with few tokens and random strings with many. Every run of
+``LEAST_CHARS`` or more characters of ``[A-Za-z0-9+/_-]`` with a letter is encoded; fewer than
+``LEAST_RATIO`` characters per token expose a random string. Known digests (hex of the usual lengths) and
+UUIDs are left out first, and so is what lies within a span of a fixed pattern. So are identifiers:
+runs of which at least half of the letters are in words that the vocabulary has as one token. Runs
+that are written like words, in one case and at most with a number behind, may be words of a language
+that the vocabulary hardly knows, and are random only below ``LEAST_WORD_RATIO``.
 
 Whole texts are scanned in Arrow batches, as bytes; offsets are code points, end exclusive. Null
 and empty texts have no spans. Repeated rows are scanned apart. Extra columns are ignored.
@@ -14,7 +16,9 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +41,18 @@ HEX = re.compile(rb"[0-9a-f]{32,}")
 LEAST_CHARS = 16
 #: characters per token; English words come to four and more, random base64 to under two
 LEAST_RATIO = 2.2
+#: the same for what may be words; random letters come to under 1.4
+LEAST_WORD_RATIO = 1.5
+#: letters of a word that tells an identifier
+LEAST_WORD = 3
 
 _RUN = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST_CHARS)
 _DIGEST = re.compile(rb"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _DIGEST_CHARS = {32, 40, 48, 56, 64, 96, 128}
 _UUID = re.compile(rb"(?i)[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}\Z")
-#: words, each perhaps with a number after it, parted by marks: names, paths, dates
-_NAME = re.compile(rb"(?:[A-Za-z][a-z]*[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]{1,10})"
-                   rb"(?:[+/_-]+(?:[A-Za-z][a-z]*[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]{1,10}))*=?\Z")
+#: written like words
+_WORDS = re.compile(rb"(?:[A-Z]?[a-z]+|[A-Z]+)(?:[+/_-]+(?:[A-Z]?[a-z]+|[A-Z]+))*[0-9]{0,4}\Z")
+_PARTS = re.compile(rb"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 FOUND = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -62,13 +70,33 @@ def vocabulary(path: str, pattern: str):
 
 
 def is_known(run: bytes) -> bool:
-    """Digests, UUIDs, numbers and names: strings that look random but tell no secret."""
+    """Digests, UUIDs and numbers: strings that look random but tell no secret."""
     core = run.rstrip(b"=")
-    return (not re.search(rb"[A-Za-z]", core) or not re.search(rb"[0-9]", core)
-            or bool(_UUID.match(core)) or bool(_NAME.match(core))
+    return (not re.search(rb"[A-Za-z]", core) or bool(_UUID.match(core))
             or (len(core) in _DIGEST_CHARS and bool(_DIGEST.match(core))))
 
 
+def is_identifier(run: bytes, encoder) -> bool:
+    """Whether words of the vocabulary hold at least half of the letters."""
+    letters = known = 0
+    for part in _PARTS.findall(run):
+        letters += len(part)
+        if len(part) >= LEAST_WORD:
+            word = part.decode()
+            known += len(part) * any(len(encoder.encode_ordinary(w)) == 1 for w in (word, " " + word, " " + word.lower()))
+    return 2 * known >= letters
+
+
+def is_random(run: bytes, encoder) -> bool:
+    """The token test, after what is known by its form."""
+    if is_known(run):
+        return False
+    ratio = len(run) / len(encoder.encode_ordinary(run.decode()))
+    if _WORDS.match(run):
+        return ratio < LEAST_WORD_RATIO
+    return ratio < LEAST_RATIO and not is_identifier(run, encoder)
+
+
 def spans_of(text: bytes, encoder) -> list[tuple[int, int, str]]:
     """(start, end, kind) in bytes, by start and kind."""
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text)
@@ -76,12 +104,14 @@ def spans_of(text: bytes, encoder) -> list[tuple[int, int, str]]:
     found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)
               if m.end() - m.start() >= 16]
     found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    base = list(found)
+    # the furthest end of the spans that begin at or before each start
+    starts = sorted(s[0] for s in found)
+    ends = list(accumulate((s[1] for s in sorted(found)), max))
     for m in _RUN.finditer(text):
-        run = m.group()
-        if is_known(run) or any(a <= m.start() and m.end() <= b for a, b, _ in base):
+        before = bisect_right(starts, m.start())
+        if before and ends[before - 1] >= m.end():
             continue
-        if len(run) / len(encoder.encode_ordinary(run.decode())) < LEAST_RATIO:
+        if is_random(m.group(), encoder):
             found.append((m.start(), m.end(), "random"))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
