@@ -6,7 +6,7 @@ They are dealt out by ranges of the hash, sorted by (hash, document, position),
 document of each hash is carried along the sorted rows. So that a line of a third of all
 documents is no single task's load, ranges are salted by the document: each of ``salts`` shares
 of a hash finds its first document, and only rows of those first documents meet in a second
-step, at most ``salts`` documents per hash.
+step, at most ``salts`` documents per hash. Texts are split and hashed once.
 
 The result holds no text: per document the number of lines, the number dropped, and the keep
 bitmap compressed to run lengths, kept lines first (``[3, 2, 4]``: keep 3, drop 2, keep 4).
@@ -64,10 +64,12 @@ def dropped_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, salts: int =
                       F.lit(float(parts))).cast("int")
     shares = _first_document(keyed.withColumn("range_id", range_id).repartitionById(parts, "range_id"),
                              "range_id", "h1", "h2", "salt")
-    later = shares.filter("doc_id <> first_doc").select("doc_id", "pos")
-    firsts = shares.filter("doc_id = first_doc").drop("first_doc", "salt", "range_id")
-    return later.unionByName(_first_document(firsts, "h1", "h2")
-                             .filter("doc_id <> first_doc").select("doc_id", "pos"))
+    # rows that are dropped already go along, dealt evenly: a second branch would read the texts again
+    later = F.col("doc_id") != F.col("first_doc")
+    firsts = shares.select("doc_id", "pos", later.alias("later"),
+                           F.when(later, F.xxhash64("doc_id", "pos")).otherwise(F.col("h1")).alias("h1"),
+                           F.when(later, F.lit(0)).otherwise(F.col("h2")).alias("h2"))
+    return _first_document(firsts, "later", "h1", "h2").filter("later OR doc_id <> first_doc").select("doc_id", "pos")
 
 
 def _run_lengths(dropped: Column, n_lines: Column) -> Column:

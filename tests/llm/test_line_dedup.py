@@ -97,3 +97,8 @@ def test_columns_of_any_name(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
     assert sorted(tuple(r) for r in line_dedup.without_repeats(frame).collect()) == [rows[0], (2, "y", *names)]
     assert [r.line_dropped for r in line_dedup.with_bitmaps(frame).orderBy("doc_id").collect()] == [0, 1]
+
+
+def test_texts_are_split_once(docs):
+    plan = line_dedup.dropped_lines(docs(ROWS))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("posexplode") == 1 and "Union" not in plan
