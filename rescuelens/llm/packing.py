@@ -249,24 +249,44 @@ def dissolve(lengths: np.ndarray, sequences: np.ndarray, capacity: int) -> None:
     members: dict[int, list[int]] = {}
     for k in np.flatnonzero(filled[sequences] < capacity).tolist():
         members.setdefault(int(sequences[k]), []).append(k)
-    gaps = sorted((capacity - int(filled[s]), s) for s in members)
+    gap_of = {s: capacity - int(filled[s]) for s in members}
+    gaps = sorted((gap, s) for s, gap in gap_of.items())
+
+    def drop(entry: tuple[int, int]) -> None:
+        at = bisect_left(gaps, entry)
+        if at < len(gaps) and gaps[at] == entry:
+            del gaps[at]
+
     for sequence in sorted(members, key=lambda s: (filled[s], s)):
-        rest = [g for g in gaps if g[1] != sequence]
+        pieces = sorted(members[sequence], key=lambda k: -lengths[k])
+        if not gaps or pieces and lengths[pieces[0]] > gaps[-1][0]:
+            continue
+        own = gap_of[sequence], sequence
+        drop(own)
         moves = []
-        for k in sorted(members[sequence], key=lambda k: -lengths[k]):
-            at = bisect_left(rest, (int(lengths[k]), -1))
-            if at == len(rest):
+        for k in pieces:
+            length = int(lengths[k])
+            at = bisect_left(gaps, (length, -1))
+            if at == len(gaps):
                 break
-            gap, other = rest.pop(at)
-            moves.append((k, other))
-            if gap > lengths[k]:
-                insort(rest, (gap - int(lengths[k]), other))
+            gap, other = gaps.pop(at)
+            moves.append((k, gap, other))
+            gap_of[other] = gap - length
+            if gap > length:
+                insort(gaps, (gap - length, other))
         else:
-            for k, other in moves:
+            for k, _, other in moves:
                 sequences[k] = other
                 members[other].append(k)
             members[sequence] = []
-            gaps = rest
+            continue
+        # some piece has no place: all go back
+        for k, gap, other in reversed(moves):
+            drop((gap_of[other], other))
+            insort(gaps, (gap, other))
+            gap_of[other] = gap
+        if own[0]:
+            insort(gaps, own)
 
 
 def place_pieces(pieces: DataFrame, capacity: int = CAPACITY,

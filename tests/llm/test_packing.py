@@ -112,3 +112,59 @@ def test_tokenised_once(docs):
     result = packing.packed(frame, PATH)
     assert "MapInArrow" not in result.pieces._jdf.queryExecution().executedPlan().toString()
     assert result.pieces.filter(F.col("length") > 2048).count() == 0
+
+
+def plain_dissolve(lengths, sequences, capacity):
+    """Each sequence tried on a copy of the gaps."""
+    filled = np.bincount(sequences, lengths).astype(np.int64)
+    members = {}
+    for k, s in enumerate(sequences.tolist()):
+        if filled[s] < capacity:
+            members.setdefault(s, []).append(k)
+    gaps = {s: capacity - int(filled[s]) for s in members}
+    for sequence in sorted(members, key=lambda s: (filled[s], s)):
+        rest = {s: g for s, g in gaps.items() if s != sequence and g}
+        moves = []
+        for k in sorted(members[sequence], key=lambda k: -lengths[k]):
+            able = sorted((g, s) for s, g in rest.items() if g >= lengths[k])
+            if not able:
+                break
+            moves.append((k, able[0][1]))
+            rest[able[0][1]] -= int(lengths[k])
+        else:
+            for k, other in moves:
+                sequences[k] = other
+                members[other].append(k)
+            members[sequence], gaps = [], rest
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_emptying_sequences_against_a_plain_search(seed):
+    rng = np.random.default_rng(seed)
+    for most in (30, 60, 100):
+        lengths = rng.integers(1, most + 1, 120)
+        sequences, room = np.zeros(120, np.int64), []
+        for k, n in enumerate(lengths.tolist()):
+            able = [s for s, r in enumerate(room) if r >= n]
+            s = int(rng.choice(able)) if able and rng.random() < .7 else len(room)
+            room += [100] if s == len(room) else []
+            room[s] -= n
+            sequences[k] = s
+        want = sequences.copy()
+        plain_dissolve(lengths, want, 100)
+        packing.dissolve(lengths, sequences, 100)
+        assert (sequences == want).all()
+
+
+def test_emptying_until_no_gap_is_left():
+    sequences = np.array([0, 1])
+    packing.dissolve(np.array([50, 50]), sequences, 100)
+    assert sequences.tolist() == [1, 1]
+
+
+def test_many_long_pieces_take_seconds():
+    import time
+    rng = np.random.default_rng(1)
+    began = time.perf_counter()
+    sequences, _ = packing.place_lengths(rng.integers(1030, 2001, 50_000))
+    assert time.perf_counter() - began < 15 and len(set(sequences.tolist())) == 50_000
