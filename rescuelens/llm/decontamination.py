@@ -7,7 +7,8 @@ occurrence is mapped back to word numbers and to characters of the original text
 
 Benchmarks are small beside a corpus, but their size is checked: windows are dealt to blocks
 of at most ``BLOCK_BYTES``, and the corpus is scanned once per block. A usual benchmark is one
-block, and then nothing is shuffled.
+block, and then nothing is shuffled. With more blocks the texts are staged first, and the blocks'
+findings are put together by row.
 
 Null texts have no words. Texts without words, items without words and an empty item table
 give no hits. Items with the same windows are all reported. Repeated documents are reported
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rescuelens.llm import textscan
+from rescuelens.llm import staging, textscan
 
 WINDOW_WORDS = 10
 #: text of the items whose windows make up one automaton
@@ -133,7 +134,7 @@ def _scan(block, size: int):
 
 
 def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, bytes]]]:
-    """The items, block by block; only one block is on the driver at a time."""
+    """The items, block by block."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"),
                          F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
@@ -151,8 +152,11 @@ def overlaps(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS,
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.monotonically_increasing_id().alias("row_key"),
                        F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = [rows.mapInArrow(_scan(context.broadcast(block), size), HITS)
-             for block in item_blocks(items, block_bytes)]
+    blocks = [context.broadcast(block) for block in item_blocks(items, block_bytes)]
+    if len(blocks) > 1:
+        # the scans are put together by row, so all of them have to number the rows alike
+        rows = staging.stage(rows, "texts")
+    parts = [rows.mapInArrow(_scan(block, size), HITS) for block in blocks]
     if len(parts) == 1:
         return parts[0]
     every = parts[0]

@@ -46,6 +46,18 @@ def test_several_blocks_give_the_same(spark, docs):
     check(spark, docs, 3, 20)
 
 
+def test_blocks_over_rows_out_of_a_shuffle(spark, docs):
+    """Rows that come in another order each time they are computed."""
+    from pyspark.sql import functions as F
+    rows = [(k % 40, f"text {k} one two three four five {k}") for k in range(300)]
+    shuffled = docs(rows).repartition(7).withColumn("r", F.rand()).sortWithinPartitions("r").drop("r")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    out = dec.overlaps(shuffled, items, 3, 20).collect()
+    want = sorted((k, *brute(t, ITEMS, 3)) for k, t in rows)
+    assert sorted((r.doc_id, r.n_words, [w for s in r.words_hit for w in range(s.first_word, s.last_word + 1)],
+                   r.item_ids) for r in out) == want
+
+
 def test_offsets_point_into_the_original(spark, docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     text = "«Ça!» zero ONE--two\nthree four, five six"
