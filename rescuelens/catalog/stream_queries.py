@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from rescuelens import session
 from rescuelens.catalog import sql
 from rescuelens.catalog.filter_queries import ID_KEY
-from rescuelens.catalog.relations import POSTS_SQL, posts
-from rescuelens.operators import dedup
+from rescuelens.catalog.relations import POSTS_SQL, posts, table
+from rescuelens.operators import dedup, masks
 from rescuelens.streaming import posts as streaming
 
+#: part of the time the events cover
+WINDOW = ("2024-01-10 00:00:00", "2024-01-20 12:00:00")
+
 
 def _streamed(spark, sf_dir):
     folder = session.fresh_path(spark, "stream")
@@ -54,6 +57,19 @@ def stream_distinct(spark, sf_dir):
         dedup.digest(key).alias("key")))
 
 
+def stream_event_time(spark, sf_dir):
+    """First event per user and kind within a window of real event times, over a stream with a watermark."""
+    folder = session.fresh_path(spark, "events")
+    # a watermark wants an instant; times without a zone are UTC here
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).filter(
+        masks.in_window("ts", *WINDOW))
+    events.repartitionByRange(4, "ts").write.parquet(folder)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    key = F.concat_ws(":", F.col("user_id").cast("string"), "event_type")
+    # the delay covers the window, so files may come in any order
+    return _run(spark, streaming.distinct_posts(stream, key, "ts", "31 days").select(key.alias("key")))
+
+
 def stream_append(spark, sf_dir):
     output = session.fresh_path(spark, "sink")
     key = dedup.id_or_text_key("post_id", "post_text")
@@ -63,7 +79,8 @@ def stream_append(spark, sf_dir):
 
 
 QUERIES = {"stream_filter": stream_filter, "stream_counters": stream_counters,
-           "stream_distinct": stream_distinct, "stream_append": stream_append}
+           "stream_distinct": stream_distinct, "stream_event_time": stream_event_time,
+           "stream_append": stream_append}
 
 _KEYS = f"WITH {POSTS_SQL} SELECT DISTINCT sha256({ID_KEY}) AS key FROM posts"
 
@@ -73,4 +90,6 @@ ORACLES = {
     "stream_counters": f"""WITH {sql.signals("event")} SELECT count(*) AS rows_read,
         count(*) FILTER ({sql.kept("balanced")}) AS rows_kept FROM sig""",
     "stream_distinct": _KEYS, "stream_append": _KEYS,
+    "stream_event_time": f"""SELECT DISTINCT CAST(user_id AS VARCHAR) || ':' || event_type AS key FROM events
+        WHERE ts BETWEEN TIMESTAMP '{WINDOW[0]}' AND TIMESTAMP '{WINDOW[1]}'""",
 }
