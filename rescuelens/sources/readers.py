@@ -107,6 +107,7 @@ def _by_group(groups: list[_Group], wanted: Sequence[str] | None, required: Sequ
         columns.require([n for n in group.names if n], required)
     if not groups:
         columns.require([], required)
+        raise FileNotFoundError("no file has a header")
     found = dict.fromkeys(n for g in groups for n in g.names if n)
     # without wanted ones: those of the first file, then what others add
     keep = columns.present(found, found if wanted is None else wanted)
@@ -260,8 +261,6 @@ def _read_records(found: blocks.Blocks, path, wanted: Sequence[str] | None, requ
             frames.append(rows.select(F.struct(*group.schema.names).alias("cells"), "file", "block", "row"))
         return reduce(DataFrame.unionAll, frames), lambda name: F.col("cells")[name]
 
-    if not groups:
-        raise FileNotFoundError(f"no readable files under {path}")
     return _by_group(groups, wanted, required, order, skip_long, scan)
 
 
