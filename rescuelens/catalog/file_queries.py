@@ -107,10 +107,10 @@ def scan_csv(spark, sf_dir):
 
 
 def _small_splits(spark):
-    """A session that cuts files into splits of 64 KB, so that small ones are many tasks' work too."""
+    """A session that cuts files into splits of 512 KB, so that small ones are many tasks' work too."""
     small = spark.newSession()
     small.conf.set("spark.sql.session.timeZone", "UTC")
-    small.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    small.conf.set("spark.sql.files.maxPartitionBytes", "512k")
     return small
 
 

@@ -33,22 +33,15 @@ def tagged_stages(df: DataFrame, start=None, end=None) -> dict[str, Column]:
     return {"after_language": masks.in_languages("language"), "after_time": masks.in_window(date, start, end)}
 
 
-def _tagged_signals(df: DataFrame, text: Column, rules: sg.SignalRules) -> tuple[DataFrame, Column, str | None]:
-    position = "coordinates" if "coordinates" in df.columns else None
-    return (sg.with_signals(df.withColumn("_text", text), "_text", rules),
-            masks.tagged_help_mask(position, rules), position)
-
-
-def _tagged_text(df: DataFrame) -> Column:
-    return masks.combined_text("content", "hashtags" if "hashtags" in df.columns else None)
-
-
 def tagged_matches(df: DataFrame, start=None, end=None, rules: sg.SignalRules = sg.TAGGED_RULES) -> DataFrame:
     """Posts of the tagged corpus that pass its tests, with flags and their ``_text``. Needs no shuffle."""
     tests = tagged_stages(df, start, end)
-    posts, mask, position = _tagged_signals(
-        df.filter(tests["after_language"] & tests["after_time"]), _tagged_text(df), rules)
-    return sg.without_signals(masks.tagged_audit_flags(posts.filter(mask), position, rules))
+    tags = "hashtags" if "hashtags" in df.columns else None
+    position = "coordinates" if "coordinates" in df.columns else None
+    posts = df.filter(tests["after_language"] & tests["after_time"]).withColumn(
+        "_text", masks.combined_text("content", tags))
+    posts = sg.with_signals(posts, "_text", rules).filter(masks.tagged_help_mask(position, rules))
+    return sg.without_signals(masks.tagged_audit_flags(posts, position, rules))
 
 
 def tagged_help_posts(df: DataFrame, order: Sequence[str], start=None, end=None,
@@ -61,14 +54,15 @@ def _first_tagged(matches: DataFrame, order: Sequence[str]) -> DataFrame:
     return dedup.first_per_key(matches, dedup.text_key("_text"), order).drop("_text")
 
 
-def tagged_funnel(df: DataFrame, start=None, end=None, rules: sg.SignalRules = sg.TAGGED_RULES) -> DataFrame:
-    """Rows read, left after language and time, and kept, as one row from one pass."""
-    tests = tagged_stages(df, start, end)
-    # texts of rows that are out already are not searched
-    passed = tests["after_language"] & tests["after_time"]
-    posts, mask, _ = _tagged_signals(df, F.when(passed, _tagged_text(df)), rules)
-    key = F.when(passed & mask, dedup.digest(dedup.text_key("_text")))
-    return posts.withColumn("_key", key).agg(*funnel.stage_columns(tests), F.count_distinct("_key").alias("kept"))
+def tagged_funnel(df: DataFrame, start=None, end=None) -> DataFrame:
+    """Rows read, left after language and time, and kept, as one row.
+
+    The counts ahead of the text search are a scan of two columns; :func:`run_tagged_filter` takes them
+    on the way.
+    """
+    counts = funnel.stage_counts(df, tagged_stages(df, start, end))
+    kept = tagged_help_posts(df, ["content"], start, end).agg(F.count("*").alias("n"))
+    return counts.withColumn("kept", kept.scalar())
 
 
 @dataclass(frozen=True)

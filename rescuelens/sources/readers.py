@@ -129,33 +129,39 @@ def _placed(rows: DataFrame) -> DataFrame:
                        F.monotonically_increasing_id().alias("row"))
 
 
+#: mean size of files from which on they are not read to the end for their first line
+LARGE_FILE = 64 << 20
+
+
 def first_lines(spark: SparkSession, path, **options) -> DataFrame:
     """(file, line): the first line of every file that is not blank.
 
-    Every file is one task, which ends as soon as it has the line: little of a file is read, whatever
-    its size. Where the settings put several files into a task, it reads them to the end.
+    Large files are one task each, which ends as soon as it has the line: little of a file is read,
+    whatever its size. That costs a Python worker per file, so small ones are read as usual.
     """
-    peek = spark.newSession()
-    for name in ("maxPartitionBytes", "openCostInBytes"):
-        peek.conf.set(f"spark.sql.files.{name}", str(1 << 50))
-    peek.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    lengths = spark.read.format("binaryFile").options(**options).load(path).agg(F.avg("length")).first()[0] or 0
+    peek = spark
+    if lengths >= LARGE_FILE:
+        peek = spark.newSession()
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            peek.conf.set(f"spark.sql.files.{name}", str(1 << 50))
+        peek.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
     lines = peek.read.options(**options).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.col("value").cast("binary").alias("line"))
-    one_each = lines.rdd.getNumPartitions() == len(lines.inputFiles())
+        F.monotonically_increasing_id().alias("row"), "value")
+    solid = F.length(F.btrim("value", F.lit(_BLANK))) > 0
+    if peek is spark or lines.rdd.getNumPartitions() != len(lines.inputFiles()):
+        return lines.filter((F.col("block") == 0) & solid).groupBy("file").agg(F.min_by("value", "row").alias("line"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = set()
         for batch in batches:
-            for file, block, line in zip(*(batch.column(n).to_pylist() for n in ("file", "block", "line"))):
-                if block == 0 and file not in done and line.strip(b" \t\r\n\xef\xbb\xbf"):
-                    done.add(file)
+            for file, line in zip(*(batch.column(n).to_pylist() for n in ("file", "line"))):
+                if line.strip(b" \t\r\n\xef\xbb\xbf"):
                     yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([line.decode(errors="replace")])],
                                                      ["file", "line"])
-                    if one_each:
-                        return
+                    return
 
-    return lines.mapInArrow(run, "file string, line string")
+    return lines.select("file", F.col("value").cast("binary").alias("line")).mapInArrow(run, "file string, line string")
 
 
 def read_tsv(spark: SparkSession, path: str | Sequence[str], wanted: Sequence[str],

