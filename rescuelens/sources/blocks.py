@@ -14,7 +14,8 @@ edge are told apart (``unsplit``); their reader has to take them whole.
 
 Both passes have to cut files at the same places. ``spark.sql.files.minPartitionNum`` is therefore set
 if it is not, so that the number of executors has no say; a split that the first pass has not seen ends
-the job with an error.
+the job with an error. Spark's splits are smaller where a scan has less in all, so a second pass over some of
+the files is given the size the first pass had for all of them.
 """
 
 from __future__ import annotations
@@ -327,10 +328,12 @@ class Blocks:
     inside: np.ndarray
     depth: np.ndarray
     edges: DataFrame | None
+    #: all splits begin at multiples of it; 0 if every file is one split
+    step: int
 
     def records(self, path, files: list[str] | None = None, skip_first: bool = False) -> DataFrame:
         """(file, block, row, record) of what ``path`` holds; ``files`` names the files, if they are not all."""
-        whole = _whole_records(self, path, skip_first)
+        whole = _whole_records(self, path, files is None, skip_first)
         if self.edges is None:
             return whole
         edges = self.edges
@@ -356,8 +359,9 @@ def survey(spark: SparkSession, path, syntax: Syntax, **options) -> Blocks:
     splits = spark.read.parquet(kept)
     edges = _edges(splits, syntax)
 
-    columns = splits.select(_split_key(), "inside", "depth", "valid", "undefined", F.xxhash64("file").alias("of")).toArrow()
-    key, inside, depth, valid, undefined, of = (c.to_numpy() for c in columns.columns)
+    columns = splits.select(_split_key(), "block", "inside", "depth", "valid", "undefined",
+                            F.xxhash64("file").alias("of")).toArrow()
+    key, block, inside, depth, valid, undefined, of = (c.to_numpy() for c in columns.columns)
     order = np.argsort(key)
     not_utf8, odd = set(of[~valid].tolist()), set(of[undefined].tolist())
     # at most one row of each kind per file
@@ -371,7 +375,7 @@ def survey(spark: SparkSession, path, syntax: Syntax, **options) -> Blocks:
         session.remove(spark, kept)
     return Blocks(spark, syntax, options, files, {r.file for r in found if r.kind == "unsplit"},
                   key[order], inside[order], depth[order],
-                  edges.filter("kind IN ('head', 'tail')") if some else None)
+                  edges.filter("kind IN ('head', 'tail')") if some else None, int(np.gcd.reduce(block, initial=0)))
 
 
 def _split_key() -> F.Column:
@@ -382,7 +386,25 @@ def _split_key() -> F.Column:
 _RECORD = [("file", pa.string()), ("block", pa.int64()), ("row", pa.int64()), ("record", pa.binary())]
 
 
-def _whole_records(blocks: Blocks, path, skip_first: bool) -> DataFrame:
+def _units_of_some(blocks: Blocks, path) -> DataFrame:
+    """Units of some of the files, cut where the first pass over all of them has cut."""
+    # files that are no longer than this stay whole, also where all of them do
+    step = blocks.step or blocks.spark.read.format("binaryFile").options(**blocks.options).load(path).agg(
+        F.max("length")).first()[0]
+    alike = blocks.spark.newSession()
+    for name, value in blocks.spark.conf.getAll.items():
+        if name.startswith("spark.sql.files."):
+            alike.conf.set(name, value)
+    # no smaller splits for few files
+    alike.conf.set("spark.sql.files.minPartitionNum", "1")
+    alike.conf.set("spark.sql.files.maxPartitionBytes", str(step))
+    units = _units(alike, path, blocks.syntax, **blocks.options)
+    # next to no rows at all, as a frame of the reader's own session
+    none = blocks.spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(t).alias(c) for c, t in units.dtypes])
+    return none.unionAll(units)
+
+
+def _whole_records(blocks: Blocks, path, all_files: bool, skip_first: bool) -> DataFrame:
     """Records that begin and end in one split."""
     syntax = blocks.syntax
     known = blocks.spark.sparkContext.broadcast((blocks.keys, blocks.inside, blocks.depth))
@@ -422,8 +444,8 @@ def _whole_records(blocks: Blocks, path, skip_first: bool) -> DataFrame:
             if out:
                 yield _batch(out, _RECORD)
 
-    return (_units(blocks.spark, path, syntax, **blocks.options).withColumn("key", _split_key())
-            .mapInArrow(run, _ddl(_RECORD)))
+    units = _units(blocks.spark, path, syntax, **blocks.options) if all_files else _units_of_some(blocks, path)
+    return units.withColumn("key", _split_key()).mapInArrow(run, _ddl(_RECORD))
 
 
 def _joined(edges: DataFrame, syntax: Syntax) -> DataFrame:

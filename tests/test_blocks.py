@@ -104,6 +104,25 @@ def test_splits_that_moved_are_noticed(spark, tmp_path):
         df.collect()
 
 
+@pytest.fixture
+def few_per_split(spark):
+    """A session whose splits depend on what a scan has in all."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.openCostInBytes", "100")
+    session.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    return session
+
+
+def test_files_of_one_encoding_are_cut_as_all_were(few_per_split, tmp_path):
+    rows = random_rows(8, 150)
+    turkish = [[c.replace("é", "ç") for c in r] for r in rows]
+    for k in range(3):
+        (tmp_path / f"a{k}.csv").write_bytes(csv_bytes(rows))
+        (tmp_path / f"b{k}.csv").write_bytes(csv_bytes(turkish).decode().encode("windows-1254"))
+    df = readers.read_csv_any_encoding(few_per_split, str(tmp_path))
+    assert values(df) == sorted([tuple(r) for r in rows + turkish] * 3)
+
+
 def random_value(rng, depth=0):
     kind = rng.randrange(6 if depth < 3 else 4)
     if kind == 4:
