@@ -123,6 +123,26 @@ def test_files_of_one_encoding_are_cut_as_all_were(few_per_split, tmp_path):
     assert values(df) == sorted([tuple(r) for r in rows + turkish] * 3)
 
 
+def test_files_of_one_header_are_cut_as_all_were(few_per_split, tmp_path):
+    rows = random_rows(8, 150)
+    for k in range(3):
+        (tmp_path / f"a{k}.csv").write_bytes(csv_bytes(rows))
+        (tmp_path / f"b{k}.csv").write_bytes(csv_bytes(rows, header=("c", "b", "a")))
+    df = readers.read_csv(few_per_split, str(tmp_path))
+    assert values(df) == sorted([tuple(r) for r in rows] * 3 + [tuple(r[::-1]) for r in rows] * 3)
+    # of the session it was asked of
+    assert df._jdf.sparkSession().conf().get("spark.sql.session.timeZone") == "Asia/Tokyo"
+
+
+def test_arrays_beside_one_that_is_read_whole(few_per_split, tmp_path):
+    rows = [{"n": n, "text": f"t{n}"} for n in range(200)]
+    for k in range(3):
+        (tmp_path / f"{k}.json").write_text(json.dumps(rows))
+    (tmp_path / "long.json").write_text(json.dumps([{"n": -1, "text": "} {" * 500_000}]))
+    df = readers.read_json_array(few_per_split, str(tmp_path), "n long, text string")
+    assert values(df) == sorted([(r["n"], r["text"]) for r in rows] * 3 + [(-1, "} {" * 500_000)])
+
+
 def random_value(rng, depth=0):
     kind = rng.randrange(6 if depth < 3 else 4)
     if kind == 4:
