@@ -44,6 +44,8 @@ class CsvLines:
     its first character, and is doubled inside."""
 
     separator = b"\n"
+    #: a state says by itself whether a record has ended
+    flat = True
     # whole fields, then one that is not closed
     _open = re.compile(rb'(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|),)*+"[^"]*+(?:""[^"]*+)*+\Z')
 
@@ -71,6 +73,7 @@ class JsonObjects:
     """What lies between closing braces; a record is an object of the top array, or at the top."""
 
     separator = b"}"
+    flat = False
     _string = re.compile(rb'"[^"\\]*(?:\\.[^"\\]*)*"', re.S)
     _end = re.compile(rb'[^"\\]*(?:\\.[^"\\]*)*"', re.S)
     _between = b" \t\r\n,[\xef\xbb\xbf"
@@ -117,6 +120,10 @@ class _Split:
     prefix: list[bytes] = field(default_factory=list)
     prefix_bytes: int = 0
     whole: bool = True
+    #: whether the prefix holds a record's end, for either start
+    ended: list[bool] = field(default_factory=lambda: [False, False])
+    #: units since the last end of a record, for either start
+    open: list[int] = field(default_factory=lambda: [0, 0])
     suffix: deque = field(default_factory=deque)
     suffix_bytes: int = 0
     valid: bool = True
@@ -129,7 +136,7 @@ class _Split:
             inside, more = self.syntax.fold(unit, inside)
             self.states[h] = inside, depth + more
         size = len(unit) + 1
-        self.whole = self.whole and (not self.prefix or self.prefix_bytes + size <= EDGE)
+        self.whole = self.whole and not all(self.ended) and (not self.prefix or self.prefix_bytes + size <= EDGE)
         if self.whole:
             self.prefix.append(unit)
             self.prefix_bytes += size
@@ -137,11 +144,23 @@ class _Split:
         self.suffix_bytes += size
         while self.suffix_bytes > EDGE and len(self.suffix) > 1:
             self.suffix_bytes -= len(self.suffix.popleft()[0]) + 1
+        if self.syntax.flat:
+            self._note_end(unit, before)
         self.units, self.last = self.units + 1, row
 
+    def _note_end(self, unit: bytes, before: tuple[State, State]) -> None:
+        """What lies between the first and the last end of a record is in no edge."""
+        closed = [self.syntax.closed(s) for s in self.states]
+        # from outside, a blank line is no record
+        solid = not self.syntax.closed(before[0]) or self.syntax.record(unit)
+        self.ended = [self.ended[0] or bool(closed[0] and solid), self.ended[1] or closed[1]]
+        self.open = [0 if c else n + 1 for c, n in zip(closed, self.open)]
+        while len(self.suffix) > max(self.open):
+            self.suffix_bytes -= len(self.suffix.popleft()[0]) + 1
+
     def row(self, block: int) -> tuple:
         join = self.syntax.separator.join
-        (in_0, depth_0), (in_1, depth_1) = self.suffix[0][1]
+        (in_0, depth_0), (in_1, depth_1) = self.suffix[0][1] if self.suffix else self.states
         prefix = join(self.prefix)
         return (in_0, depth_0, in_1, depth_1, *self.states[0], *self.states[1], self.units, self.last,
                 prefix, self.whole, join([u for u, _ in self.suffix]), len(self.suffix),
@@ -184,9 +203,25 @@ def _units(spark: SparkSession, path, syntax: Syntax, **options) -> DataFrame:
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     lines = spark.read.options(lineSep=syntax.separator.decode(), **options).text(path)
-    return lines.select(F.col("_metadata.file_path").alias("file"),
-                        F.col("_metadata.file_block_start").alias("block"),
-                        F.monotonically_increasing_id().alias("row"), F.col("value").cast("binary").alias("unit"))
+    return _in_few_tasks(lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.col("value").cast("binary").alias("unit")))
+
+
+#: bytes of small splits that are one task's work, where there are splits enough for all cores
+TASK = 16 << 20
+
+
+def _in_few_tasks(units: DataFrame) -> DataFrame:
+    """Several small splits to a task: to begin one in Python takes longer than to read a small split."""
+    conf, cores = units.sparkSession.conf, units.sparkSession.sparkContext.defaultParallelism
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", conf.get("spark.sql.files.maxPartitionBytes").strip().lower()).groups()
+    together = TASK // max(1, int(number) << 10 * " kmgtp".index(unit or " "))
+    if together < 2:
+        return units
+    splits = units.rdd.getNumPartitions()
+    tasks = max(8 * cores, -(-splits // together))
+    return units.coalesce(tasks) if tasks < splits else units
 
 
 def _runs(batch: pa.RecordBatch, *keys: str) -> Iterator[tuple[tuple, int, int]]:

@@ -221,3 +221,26 @@ def test_tsv_headers_without_a_join(spark, tmp_path):
     assert "Join" not in plan and plan.count("FileScan csv") == 2
     narrow = plan_of(df.select("tweet_id"))
     assert "ReadSchema: struct<c0:string>" in narrow and "ReadSchema: struct<c3:string>" in narrow
+
+
+def test_edges_end_with_a_record(spark, tmp_path):
+    """What the first pass keeps of a split is not half the split."""
+    rows = [[f"{k}", 'x "y"\n' * 5, "z"] for k in range(40)]
+    (tmp_path / "x.csv").write_bytes(b"\n\r\n" + csv_bytes(rows, end="\n"))
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    kept = blocks._evidence(session, str(tmp_path), blocks.CsvLines).collect()
+    assert len(kept) == 2 and all(len(r.prefix) < 150 and len(r.suffix) < 150 for r in kept), kept
+    assert values(readers.read_csv(session, str(tmp_path))) == sorted(tuple(r) for r in rows)
+
+
+def test_many_small_splits_are_few_tasks(spark, tmp_path):
+    rows = random_rows(9, 600)
+    (tmp_path / "x.csv").write_bytes(csv_bytes(rows))
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    assert blocks._units(session, str(tmp_path), blocks.CsvLines).rdd.getNumPartitions() == 8 * 4
+    df = readers.read_csv(session, str(tmp_path), order=True)
+    assert values(df.drop(*readers.SCAN_ORDER)) == sorted(tuple(r) for r in rows)
+    assert [r.a for r in df.orderBy(*readers.SCAN_ORDER).collect()] == [str(k) for k in range(600)]
