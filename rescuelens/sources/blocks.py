@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from rescuelens import session
 
 EDGE = 1 << 18
+#: units handled at a time, whatever a batch holds
+PIECE = 1024
 
 State = tuple[bool, int]
 
@@ -224,6 +226,13 @@ def _in_few_tasks(units: DataFrame) -> DataFrame:
     return units.coalesce(tasks) if tasks < splits else units
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, as Python objects take several times the room of a batch."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def _runs(batch: pa.RecordBatch, *keys: str) -> Iterator[tuple[tuple, int, int]]:
     """Stretches of rows with equal keys."""
     columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
@@ -239,7 +248,7 @@ def _evidence(spark: SparkSession, path, syntax: Syntax, **options) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, split = None, None
-        for batch in batches:
+        for batch in _pieces(batches, PIECE):
             done = []
             units, rows = batch.column("unit").to_pylist(), batch.column("row").to_pylist()
             for of, a, b in _runs(batch, "file", "block"):
@@ -290,11 +299,9 @@ def _edges(starts: DataFrame, syntax: Syntax) -> DataFrame:
     names = [f.name for f in starts.schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for values in zip(*(batch.column(n).to_pylist() for n in names)):
-                out += edges_of(dict(zip(names, values)))
-            yield _batch(out, _EDGES)
+        for batch in _pieces(batches, 1):
+            values = [batch.column(n)[0].as_py() for n in names]
+            yield _batch([*edges_of(dict(zip(names, values)))], _EDGES)
 
     def edges_of(s: dict) -> Iterator[tuple]:
         start = (s["inside"], s["depth"])
@@ -454,7 +461,7 @@ def _whole_records(blocks: Blocks, path, all_files: bool, skip_first: bool) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, state, raw, skip, header = None, None, [], False, False
-        for batch in batches:
+        for batch in _pieces(batches, PIECE):
             out = []
             units, rows = batch.column("unit").to_pylist(), batch.column("row").to_pylist()
             files = batch.column("file").to_pylist()
@@ -493,7 +500,7 @@ def _joined(edges: DataFrame, syntax: Syntax) -> DataFrame:
     whole = F.array_join("parts.part", syntax.separator.decode()).cast("binary")
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches, PIECE):
             found = pa.array([syntax.record(r) for r in batch.column("record").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], [n for n, _ in _RECORD])
 

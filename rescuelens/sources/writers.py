@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: records handled at a time, whatever a batch holds
+PIECE = 256
+
 
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """CSV parts with a header each; values keep their white space and line breaks."""
@@ -44,20 +49,21 @@ def write_json_array(df: DataFrame, path: str, indent: bool = False) -> None:
 
 def write_json_texts(df: DataFrame, path: str) -> None:
     """The same for records that are JSON already, in the only column."""
-    def framed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # brackets and commas around the records of one task
-        first = True
-        for frame in frames:
-            if len(frame):
-                values = frame["value"].copy()
-                values.iloc[0] = ("[" if first else ",") + values.iloc[0]
-                values.iloc[1:] = "," + values.iloc[1:]
-                first = False
-                yield values.to_frame()
-        yield pd.DataFrame({"value": ["[]" if first else "]"]})
-
     # a task that ends with nothing writes an empty array; the reader skips it
-    df.toDF("value").mapInPandas(framed, "value string").write.mode("overwrite").option("extension", "json").text(path)
+    df.toDF("value").mapInArrow(_framed, "value string").write.mode("overwrite").option("extension", "json").text(path)
+
+
+def _framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Brackets and commas around the records of one task, a few records at a time."""
+    first = True
+    for batch in batches:
+        for k in range(0, batch.num_rows, PIECE):
+            values = batch.column("value").slice(k, PIECE)
+            marks = pa.array(["[" if first else ",", *[","] * (len(values) - 1)], values.type)
+            first = False
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(marks, values, pa.scalar("", values.type))],
+                                             ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], ["value"])
 
 
 def _record(record: Column, indent: bool = False) -> Column:

@@ -5,9 +5,10 @@ import io
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
-from rescuelens.sources import blocks, readers
+from rescuelens.sources import blocks, readers, writers
 from tests.conftest import plan_of
 
 
@@ -244,3 +245,20 @@ def test_many_small_splits_are_few_tasks(spark, tmp_path):
     df = readers.read_csv(session, str(tmp_path), order=True)
     assert values(df.drop(*readers.SCAN_ORDER)) == sorted(tuple(r) for r in rows)
     assert [r.a for r in df.orderBy(*readers.SCAN_ORDER).collect()] == [str(k) for k in range(600)]
+
+
+def test_arrays_are_written_a_few_records_at_a_time():
+    """A task holds a piece of a batch as new values, not the batch."""
+    records = [json.dumps({"n": n, "text": 'é"\n' * 10}) for n in range(3000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(records[a:b])], ["value"]) for a, b in ((0, 1), (1, 1), (1, 3000))]
+    out = list(writers._framed(iter(batches)))
+    assert max(b.num_rows for b in out) <= writers.PIECE < 3000
+    assert json.loads("\n".join(v for b in out for v in b.column("value").to_pylist())) == [json.loads(r) for r in records]
+    assert [b.column("value").to_pylist() for b in writers._framed(iter(batches[1:2]))] == [["[]"]]
+
+
+def test_batches_are_taken_in_pieces():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10))], ["n"])
+    pieces = list(blocks._pieces(iter([batch, batch]), 4))
+    assert [p.num_rows for p in pieces] == [4, 4, 2] * 2
+    assert sum((p.column("n").to_pylist() for p in pieces), []) == [*range(10)] * 2
