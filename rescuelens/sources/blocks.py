@@ -13,21 +13,22 @@ file, as in any listing; edges are at most ``EDGE`` bytes or one unit per split.
 edge are told apart (``unsplit``); their reader has to take them whole.
 
 Both passes have to cut files at the same places. ``spark.sql.files.minPartitionNum`` is therefore set
-if it is not, so that the number of executors has no say; a split that the first pass has not seen ends
-the job with an error. Spark's splits are smaller where a scan has less in all, so a second pass over some of
-the files is given the size the first pass had for all of them.
+if it is not, so that the number of executors has no say. Spark's splits are smaller where a scan has less in all, so
+the second pass reads all files too, whatever their headers and encodings, and numbers its records by group of files.
+A split that the first pass has not seen, from its beginning to its end, ends the job with an error.
 """
 
 from __future__ import annotations
 
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -207,6 +208,7 @@ def _units(spark: SparkSession, path, syntax: Syntax, **options) -> DataFrame:
     lines = spark.read.options(lineSep=syntax.separator.decode(), **options).text(path)
     return _in_few_tasks(lines.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_block_length").alias("length"),
         F.monotonically_increasing_id().alias("row"), F.col("value").cast("binary").alias("unit")))
 
 
@@ -244,14 +246,14 @@ def _runs(batch: pa.RecordBatch, *keys: str) -> Iterator[tuple[tuple, int, int]]
 
 
 def _evidence(spark: SparkSession, path, syntax: Syntax, **options) -> DataFrame:
-    fields = [("file", pa.string()), ("block", pa.int64()), *_EVIDENCE]
+    fields = [("file", pa.string()), ("block", pa.int64()), ("length", pa.int64()), *_EVIDENCE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, split = None, None
         for batch in _pieces(batches, PIECE):
             done = []
             units, rows = batch.column("unit").to_pylist(), batch.column("row").to_pylist()
-            for of, a, b in _runs(batch, "file", "block"):
+            for of, a, b in _runs(batch, "file", "block", "length"):
                 if of != key:
                     if split:
                         done.append((*key, *split.row(key[1])))
@@ -360,6 +362,7 @@ class Blocks:
     """What the first pass has found out about the files of a scan."""
 
     spark: SparkSession
+    path: str | Sequence[str]
     syntax: Syntax
     options: dict
     files: list[FileFacts]
@@ -370,19 +373,12 @@ class Blocks:
     inside: np.ndarray
     depth: np.ndarray
     edges: DataFrame | None
-    #: all splits begin at multiples of it; 0 if every file is one split
-    step: int
 
-    def records(self, path, files: list[str] | None = None, skip_first: bool = False) -> DataFrame:
-        """(file, block, row, record) of what ``path`` holds; ``files`` names the files, if they are not all."""
-        whole = _whole_records(self, path, files is None, skip_first)
-        if self.edges is None:
-            return whole
-        edges = self.edges
-        if files is not None:
-            own = self.spark.createDataFrame([(f,) for f in files], "file string")
-            edges = edges.join(F.broadcast(own), "file", "left_semi")
-        return whole.unionByName(_joined(edges, self.syntax))
+    def records(self, groups: dict[str, int] | None = None, skip_first: bool = False) -> DataFrame:
+        """(file, block, row, group, record); ``groups`` numbers the files, those without a number are left out."""
+        of = self.spark.sparkContext.broadcast(dict.fromkeys((f.file for f in self.files), 0) if groups is None else groups)
+        whole = _whole_records(self, of, skip_first)
+        return whole if self.edges is None else whole.unionByName(_joined(self.edges, of, self.syntax))
 
 
 class FileFacts(NamedTuple):
@@ -401,9 +397,9 @@ def survey(spark: SparkSession, path, syntax: Syntax, **options) -> Blocks:
     splits = spark.read.parquet(kept)
     edges = _edges(splits, syntax)
 
-    columns = splits.select(_split_key(), "block", "inside", "depth", "valid", "undefined",
+    columns = splits.select(_split_key(), "inside", "depth", "valid", "undefined",
                             F.xxhash64("file").alias("of")).toArrow()
-    key, block, inside, depth, valid, undefined, of = (c.to_numpy() for c in columns.columns)
+    key, inside, depth, valid, undefined, of = (c.to_numpy() for c in columns.columns)
     order = np.argsort(key)
     not_utf8, odd = set(of[~valid].tolist()), set(of[undefined].tolist())
     # at most one row of each kind per file
@@ -415,38 +411,20 @@ def survey(spark: SparkSession, path, syntax: Syntax, **options) -> Blocks:
     some = any(r.kind in ("head", "tail") for r in found)
     if not some:
         session.remove(spark, kept)
-    return Blocks(spark, syntax, options, files, {r.file for r in found if r.kind == "unsplit"},
-                  key[order], inside[order], depth[order],
-                  edges.filter("kind IN ('head', 'tail')") if some else None, int(np.gcd.reduce(block, initial=0)))
+    return Blocks(spark, path, syntax, options, files, {r.file for r in found if r.kind == "unsplit"},
+                  key[order], inside[order], depth[order], edges.filter("kind IN ('head', 'tail')") if some else None)
 
 
 def _split_key() -> F.Column:
-    """A split is told by its file and where it begins."""
-    return F.xxhash64("file", "block").alias("key")
+    """A split is told by its file, and where it begins and ends."""
+    return F.xxhash64("file", "block", "length").alias("key")
 
 
-_RECORD = [("file", pa.string()), ("block", pa.int64()), ("row", pa.int64()), ("record", pa.binary())]
+_RECORD = [("file", pa.string()), ("block", pa.int64()), ("row", pa.int64()), ("group", pa.int64()),
+           ("record", pa.binary())]
 
 
-def _units_of_some(blocks: Blocks, path) -> DataFrame:
-    """Units of some of the files, cut where the first pass over all of them has cut."""
-    # files that are no longer than this stay whole, also where all of them do
-    step = blocks.step or blocks.spark.read.format("binaryFile").options(**blocks.options).load(path).agg(
-        F.max("length")).first()[0]
-    alike = blocks.spark.newSession()
-    for name, value in blocks.spark.conf.getAll.items():
-        if name.startswith("spark.sql.files."):
-            alike.conf.set(name, value)
-    # no smaller splits for few files
-    alike.conf.set("spark.sql.files.minPartitionNum", "1")
-    alike.conf.set("spark.sql.files.maxPartitionBytes", str(step))
-    units = _units(alike, path, blocks.syntax, **blocks.options)
-    # next to no rows at all, as a frame of the reader's own session
-    none = blocks.spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(t).alias(c) for c, t in units.dtypes])
-    return none.unionAll(units)
-
-
-def _whole_records(blocks: Blocks, path, all_files: bool, skip_first: bool) -> DataFrame:
+def _whole_records(blocks: Blocks, groups: Broadcast, skip_first: bool) -> DataFrame:
     """Records that begin and end in one split."""
     syntax = blocks.syntax
     known = blocks.spark.sparkContext.broadcast((blocks.keys, blocks.inside, blocks.depth))
@@ -460,17 +438,19 @@ def _whole_records(blocks: Blocks, path, all_files: bool, skip_first: bool) -> D
         return bool(inside[at]), int(depth[at])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, state, raw, skip, header = None, None, [], False, False
+        split, state, raw, skip, header, group = None, None, [], False, False, None
         for batch in _pieces(batches, PIECE):
             out = []
             units, rows = batch.column("unit").to_pylist(), batch.column("row").to_pylist()
             files = batch.column("file").to_pylist()
             for (key, block), a, b in _runs(batch, "key", "block"):
                 if (key, block) != split:
-                    split, state, raw = (key, block), start_of(key), []
+                    split, state, raw, group = (key, block), start_of(key), [], groups.value.get(files[a])
                     # what is left of a record that began before is in the edges
                     skip = not syntax.closed(state)
                     header = skip_first and block == 0
+                if group is None:
+                    continue
                 for k in range(a, b):
                     raw.append(units[k])
                     inside, more = syntax.fold(units[k], state[0])
@@ -481,16 +461,16 @@ def _whole_records(blocks: Blocks, path, all_files: bool, skip_first: bool) -> D
                     if found and header:
                         header = False
                     elif found and not skip:
-                        out.append((files[k], block, rows[k] - len(raw) + 1, found))
+                        out.append((files[k], block, rows[k] - len(raw) + 1, group, found))
                     skip, raw = False, []
             if out:
                 yield _batch(out, _RECORD)
 
-    units = _units(blocks.spark, path, syntax, **blocks.options) if all_files else _units_of_some(blocks, path)
+    units = _units(blocks.spark, blocks.path, syntax, **blocks.options)
     return units.withColumn("key", _split_key()).mapInArrow(run, _ddl(_RECORD))
 
 
-def _joined(edges: DataFrame, syntax: Syntax) -> DataFrame:
+def _joined(edges: DataFrame, groups: Broadcast, syntax: Syntax) -> DataFrame:
     """Records across borders: a tail, and the heads up to the next tail."""
     order = W.partitionBy("file").orderBy("block", "kind")
     of = F.sum(F.when(F.col("kind") == "tail", 1).otherwise(0)).over(order)
@@ -502,8 +482,9 @@ def _joined(edges: DataFrame, syntax: Syntax) -> DataFrame:
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches, PIECE):
             found = pa.array([syntax.record(r) for r in batch.column("record").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], [n for n, _ in _RECORD])
+            of = pa.array([groups.value.get(f) for f in batch.column("file").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], of, found], [n for n, _ in _RECORD])
 
     first = F.col("parts")[0]
     return (rows.select("file", first["block"].alias("block"), first["row"].alias("row"), whole.alias("record"))
-            .mapInArrow(cleaned, _ddl(_RECORD)).filter(F.length("record") > 0))
+            .mapInArrow(cleaned, _ddl(_RECORD)).filter(F.col("group").isNotNull() & (F.length("record") > 0)))

@@ -95,13 +95,18 @@ def _literal(file: str) -> str:
     return re.sub(r"([\[\]{}*?\\,])", r"\\\1", unquote(file))
 
 
+#: rows of a scan, how to get a cell by column, and the groups that the rows are of; if these are several,
+#: their numbers are in the column ``group``
+_Scan = tuple[DataFrame, Callable[[str], Column], dict[int, _Group]]
+
+
 def _by_group(groups: list[_Group], wanted: Sequence[str] | None, required: Sequence[str], order: bool,
-              skip_long: bool, scan: Callable[[_Group], tuple[DataFrame, Callable[[str], Column]]]) -> DataFrame:
-    """Rows of all groups, each by its own header; one scan per group, and no join.
+              skip_long: bool, scans: Callable[[], Iterable[_Scan]]) -> DataFrame:
+    """Rows of all groups, each by its own header; no join.
 
     Files may hold the columns in any order; one that a file lacks is null there. Every file
     needs the required ones. Missing cells are null, cells beyond the header are ignored, or
-    their rows skipped. ``scan`` gives the rows of a group, and how to get a cell by column.
+    their rows skipped.
     """
     for group in groups:
         columns.require([n for n in group.names if n], required)
@@ -112,17 +117,30 @@ def _by_group(groups: list[_Group], wanted: Sequence[str] | None, required: Sequ
     # without wanted ones: those of the first file, then what others add
     keep = columns.present(found, found if wanted is None else wanted)
     frames = []
-    for group in groups:
-        rows, cell = scan(group)
+    for rows, cell, own in scans():
+        def cell_or_null(at: str | None, cell=cell) -> Column:
+            return F.lit(None).cast("string") if at is None else cell(at)
+
         if skip_long:
-            rows = rows.filter(cell(f"c{len(group.names)}").isNull())
-        picked = [_null_cells(cell(group.column(c))).alias(c) if c in group.names
-                  else F.lit(None).cast("string").alias(c) for c in keep]
+            rows = rows.filter(_per_group(own, lambda g: f"c{len(g.names)}", cell).isNull())
+        picked = [_null_cells(_per_group(own, lambda g: g.column(c) if c in g.names else None, cell_or_null)).alias(c)
+                  for c in keep]
         frames.append(rows.select(*picked, *([path_order(F.col("file")).alias("_path"), F.col("block").alias("_block"),
                                               F.col("row").alias("_row")] if order else [])))
     return reduce(DataFrame.unionAll, frames)
 
 
+def _per_group(own: dict[int, _Group], key: Callable[[_Group], str | None],
+               value: Callable[[str | None], Column]) -> Column:
+    """A value that depends on the group by a key alone."""
+    alike: dict[str | None, list[int]] = {}
+    for number, group in own.items():
+        alike.setdefault(key(group), []).append(number)
+    if len(alike) == 1:
+        return value(next(iter(alike)))
+    return reduce(lambda chain, k: chain.when(F.col("group").isin(alike[k]), value(k)), alike, F)
+
+
 def _placed(rows: DataFrame) -> DataFrame:
     """Next to the cells: file, block, and a number that grows within the block."""
     return rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
@@ -178,13 +196,14 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], wanted: Sequence[st
     heads = first_lines(spark, paths, **options).orderBy("file").collect()
     groups = _grouped((r.file, r.line.split("\t"), "UTF-8") for r in heads)
 
-    def scan(group: _Group):
-        rows = spark.read.schema(group.schema).options(
-            header="true", sep="\t", quote="", escape="\0", nullValue="", mode="PERMISSIVE", **options).csv(
-            paths if len(groups) == 1 else [_literal(f) for f in group.files])
-        return _placed(rows), F.col
+    def scans():
+        for n, group in enumerate(groups):
+            rows = spark.read.schema(group.schema).options(
+                header="true", sep="\t", quote="", escape="\0", nullValue="", mode="PERMISSIVE", **options).csv(
+                paths if len(groups) == 1 else [_literal(f) for f in group.files])
+            yield _placed(rows), F.col, {n: group}
 
-    df = _by_group(groups, wanted, required, order, False, scan)
+    df = _by_group(groups, wanted, required, order, False, scans)
     for c, t in (types or {}).items():
         if c in df.columns:
             df = df.withColumn(c, F.col(c).try_cast(t))
@@ -215,24 +234,25 @@ def read_csv(spark: SparkSession, path, wanted: Sequence[str] | None = None,
     Missing fields are null; rows with too many are cut to the header, or skipped.
     """
     if multi_line:
-        return _read_records(blocks.survey(spark, path, blocks.CsvLines), path, wanted, required, order, skip_long,
+        return _read_records(blocks.survey(spark, path, blocks.CsvLines), wanted, required, order, skip_long,
                              lambda file: encoding)
     heads = first_lines(spark, path).orderBy("file").collect()
     groups = _grouped((r.file, _header_cells(r.line), encoding) for r in heads)
 
-    def scan(group: _Group):
-        rows = spark.read.schema(group.schema).options(header="true", encoding=encoding, **_CSV).csv(
-            path if len(groups) == 1 else [_literal(f) for f in group.files])
-        return _placed(rows), F.col
+    def scans():
+        for n, group in enumerate(groups):
+            rows = spark.read.schema(group.schema).options(header="true", encoding=encoding, **_CSV).csv(
+                path if len(groups) == 1 else [_literal(f) for f in group.files])
+            yield _placed(rows), F.col, {n: group}
 
-    return _by_group(groups, wanted, required, order, skip_long, scan)
+    return _by_group(groups, wanted, required, order, skip_long, scans)
 
 
 def _header_cells(record: str) -> list[str]:
     return next(csv.reader(io.StringIO(record.strip(_BLANK), newline="")), [])
 
 
-def _read_records(found: blocks.Blocks, path, wanted: Sequence[str] | None, required: Sequence[str], order: bool,
+def _read_records(found: blocks.Blocks, wanted: Sequence[str] | None, required: Sequence[str], order: bool,
                   skip_long: bool, encoding_of: Callable[[blocks.FileFacts], str]) -> DataFrame:
     """CSV records that span lines, by header and encoding."""
     spark = found.spark
@@ -248,26 +268,26 @@ def _read_records(found: blocks.Blocks, path, wanted: Sequence[str] | None, requ
             headers.append((f.file, list(row or []), encoding))
     groups = _grouped(headers)
 
-    def scan(group: _Group):
-        split = [f for f in group.files if f not in found.unsplit]
-        all_files = len(split) == len(found.files)
-        frames = []
-        if split:
-            records = found.records(path if all_files else [_literal(f) for f in split],
-                                    None if all_files else split, skip_first=True)
-            text = (F.col("record").cast("string") if group.encoding == "UTF-8"
-                    else F.decode("record", group.encoding))
-            frames.append(records.select(
-                F.from_csv(text, ", ".join(f"{c} string" for c in group.schema.names), {"multiLine": "true", **_CSV})
-                .alias("cells"), "file", "block", "row"))
-        if len(split) < len(group.files):
+    def scans():
+        # one scan of all files that are cut, whatever their headers and encodings
+        number = {f: n for n, group in enumerate(groups) for f in group.files if f not in found.unsplit}
+        own = {n: groups[n] for n in sorted(set(number.values()))}
+        if own:
+            widest = max(own.values(), key=lambda g: len(g.names)).schema
+            records = found.records(number, skip_first=True)
+            text = _per_group(own, lambda g: g.encoding, lambda encoding: F.col("record").cast("string")
+                              if encoding == "UTF-8" else F.decode("record", encoding))
+            yield records.select(
+                F.from_csv(text, ", ".join(f"{c} string" for c in widest.names), {"multiLine": "true", **_CSV})
+                .alias("cells"), "file", "block", "row", "group"), lambda name: F.col("cells")[name], own
+        for n, group in enumerate(groups):
             rest = [_literal(f) for f in group.files if f in found.unsplit]
-            rows = _placed(spark.read.schema(group.schema).options(
-                multiLine="true", header="true", encoding=group.encoding, **_CSV).csv(rest))
-            frames.append(rows.select(F.struct(*group.schema.names).alias("cells"), "file", "block", "row"))
-        return reduce(DataFrame.unionAll, frames), lambda name: F.col("cells")[name]
+            if rest:
+                rows = spark.read.schema(group.schema).options(
+                    multiLine="true", header="true", encoding=group.encoding, **_CSV).csv(rest)
+                yield _placed(rows), F.col, {n: group}
 
-    return _by_group(groups, wanted, required, order, skip_long, scan)
+    return _by_group(groups, wanted, required, order, skip_long, scans)
 
 
 def read_tagged_posts(spark: SparkSession, path, order: bool = False) -> DataFrame:
@@ -326,7 +346,7 @@ def read_csv_any_encoding(spark: SparkSession, path, wanted: Sequence[str] | Non
 
     def encoding_of(file: blocks.FileFacts) -> str:
         return "UTF-8" if file.valid else "ISO-8859-9" if file.undefined else "windows-1254"
-    return _read_records(found, path, wanted, required, False, False, encoding_of)
+    return _read_records(found, wanted, required, False, False, encoding_of)
 
 
 def read_json_array(spark: SparkSession, path, schema: str = PAIR_DDL) -> DataFrame:
@@ -335,7 +355,7 @@ def read_json_array(spark: SparkSession, path, schema: str = PAIR_DDL) -> DataFr
     split = [f.file for f in found.files if f.file not in found.unsplit]
     frames = []
     if split or not found.unsplit:
-        records = found.records(path) if not found.unsplit else found.records([_literal(f) for f in split], split)
+        records = found.records(dict.fromkeys(split, 0))
         frames.append(records.select(F.from_json(F.col("record").cast("string"), schema).alias("r")).select("r.*"))
     if found.unsplit:
         frames.append(spark.read.schema(schema).option("multiLine", "true").json(

@@ -114,6 +114,40 @@ def few_per_split(spark):
     return session
 
 
+def test_splits_that_grew_are_noticed(spark, tmp_path):
+    (tmp_path / "x.csv").write_bytes(csv_bytes(random_rows(5, 100)))
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    df = readers.read_csv(session, str(tmp_path))
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    with pytest.raises(Exception, match="split elsewhere than in the first pass"):
+        df.collect()
+
+
+@pytest.mark.parametrize("encoded", [False, True])
+def test_files_of_two_headers_are_one_scan(few_per_split, tmp_path, monkeypatch, encoded):
+    """Cut as in the first pass, also where the size of splits is not ours to set."""
+    rows = random_rows(8, 150)
+    turkish = [[c.replace("é", "ç") for c in r] for r in rows] if encoded else rows
+    for k in range(3):
+        (tmp_path / f"a{k}.csv").write_bytes(csv_bytes(rows))
+        (tmp_path / f"b{k}.csv").write_bytes(csv_bytes(turkish, header=("c", "b", "")).decode().encode(
+            "windows-1254" if encoded else "utf-8"))
+    (tmp_path / "d.csv").write_bytes(b"b,c\nx,y,too long\nx\nx,y\n")
+    few_per_split.conf.set("spark.sql.files.minPartitionNum", "12")
+    held = type(few_per_split.conf)
+    monkeypatch.setattr(held, "set", lambda self, key, value, put=held.set:
+                        None if key.startswith("spark.sql.files.") else put(self, key, value))
+    if encoded:
+        df = readers.read_csv_any_encoding(few_per_split, str(tmp_path))
+    else:
+        df = readers.read_csv(few_per_split, str(tmp_path), skip_long=True)
+    want = [tuple(r) for r in rows] * 3 + [("", r[1], r[0]) for r in turkish] * 3
+    want += [("", "x", ""), ("", "x", "y"), *([("", "x", "y")] if encoded else [])]
+    assert df.columns == ["a", "b", "c"] and values(df.fillna("")) == sorted(want)
+    assert plan_of(df).count("Scan text") == 1
+
+
 def test_files_of_one_encoding_are_cut_as_all_were(few_per_split, tmp_path):
     rows = random_rows(8, 150)
     turkish = [[c.replace("é", "ç") for c in r] for r in rows]
