@@ -19,12 +19,12 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     links = staging.stage(edges.select("a", "b").filter("a <> b").distinct(), "links")
-    before = None
+    before, count = None, links.count()
     while True:
         large = _star(links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
-            links.select(F.col("b").alias("node"), F.col("a").alias("other"))), larger=True)
+            links.select(F.col("b").alias("node"), F.col("a").alias("other"))), larger=True, rows=count)
         small = _star(large.select(F.greatest("a", "b").alias("node"),
-                                   F.least("a", "b").alias("other")), larger=False)
+                                   F.least("a", "b").alias("other")), larger=False, rows=count)
         following = staging.stage(small.withColumn("mark", F.xxhash64("a", "b")), "links")
         state = following.agg(F.count("*"), F.coalesce(F.sum(F.col("mark").cast("decimal(38,0)")),
                                                        F.lit(0))).first()
@@ -32,16 +32,16 @@ def components(edges: DataFrame) -> DataFrame:
         links = following.select("a", "b")
         if tuple(state) == before:
             break
-        before = tuple(state)
+        before, count = tuple(state), state[0]
     members = links.select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("component"))
     return members.unionByName(links.select(F.least("a", "b").alias("id"),
                                             F.least("a", "b").alias("component"))).distinct()
 
 
-def _star(pairs: DataFrame, larger: bool) -> DataFrame:
+def _star(pairs: DataFrame, larger: bool, rows: int) -> DataFrame:
     """Links every (larger or smaller) neighbour of a node, and the node, to its smallest."""
     least = pairs.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("least"))
-    joined = pairs.join(least, "node")
+    joined = pairs.join(staging.side(least, rows), "node")
     if larger:
         out = joined.filter("other > node").select(F.col("other").alias("a"), F.col("least").alias("b"))
     else:

@@ -14,7 +14,8 @@ is like. A family is compared in units of two blocks of bounded size: pairs whos
 signatures allow the similarity exactly, on full sets. A unit keeps track of what is connected
 already and compares only what is not, and returns no more links than it has members. Every
 pair that could still join two components is compared, so none is lost; large families are many
-units. Equal sets are one class throughout and are not expanded into pairs.
+units, without those of sizes too far apart. Tables of links, ids and units shrink to little in files, so
+beyond ``staging.SENT_ROWS`` their joins are told to shuffle. Equal sets are one class throughout and are not expanded into pairs.
 
 Null texts, and texts without words, have no shingles and are linked with nothing. A text with
 fewer words than a shingle is one shingle. Document ids are assumed to be distinct; repeated
@@ -25,6 +26,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -45,6 +47,8 @@ SYMBOLS = CHUNKS * CHUNK_SYMBOLS
 MOST_DIFFERENT = 34
 #: classes and shingles of one of the two blocks that are compared in one task
 BLOCK_ROWS, BLOCK_SHINGLES = 500, 2_000_000
+#: families of more blocks have blocks of similar set sizes
+BANDED_BLOCKS = 3
 #: up to so many ids a broadcast picks the texts of the families, beyond it a shuffle
 SENT_IDS = 1_000_000
 
@@ -138,16 +142,41 @@ def _differ(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.count_nonzero(left != right, axis=-1)
 
 
-def family_units(families: DataFrame, classes: DataFrame) -> DataFrame:
-    """(id, family, low, high): the units of two blocks in which a class is compared."""
-    members = families.join(classes.select("id", "n"), "id")
-    blocks = members.groupBy("component").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
-        .cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = members.join(blocks, "component").select(
-        "id", F.col("component").alias("family"), own.alias("own"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+def family_units(families: DataFrame, classes: DataFrame, n_ids: int, percent: int) -> DataFrame:
+    """(id, family, own, low, high): the units of two blocks in which a class is compared.
+
+    Blocks of a large family are made within bands of set sizes, and only those of one band or of
+    neighbouring bands are compared: sizes further apart do not allow the similarity.
+    """
+    # a little wider than the similarity allows, for the rounding of logarithms
+    width = max(math.log(100 / max(percent, 1e-9)), 1e-6) * 1.001
+    members = families.join(staging.side(classes.select("id", "n"), n_ids), "id").withColumn(
+        "band", F.floor(F.log("n") / width))
+
+    def blocks(rows, shingles):
+        return F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(shingles / BLOCK_SHINGLES))
+
+    whole, in_order = W.partitionBy("component"), W.partitionBy("component").orderBy("band")
+    bands = members.groupBy("component", "band").agg(F.count("*").alias("rows"), F.sum("n").alias("sum")).select(
+        "component", "band", blocks(F.col("rows"), F.col("sum")).alias("blocks"),
+        blocks(F.sum("rows").over(whole), F.sum("sum").over(whole)).alias("all_blocks"))
+    for name, near, step in (("before", F.lag, -1), ("after", F.lead, 1)):
+        bands = bands.withColumn(name, F.when(near("band").over(in_order) == F.col("band") + step,
+                                              near("blocks").over(in_order)).otherwise(0))
+
+    def numbers(band, count):
+        first = band * (1 << 32)
+        return F.when(count > 0, F.sequence(first, first + count - 1)).otherwise(F.array().cast("array<long>"))
+
+    band, banded = F.col("band"), F.col("all_blocks") > BANDED_BLOCKS
+    others = F.when(banded, F.concat(numbers(band - 1, F.col("before")), numbers(band, F.col("blocks")),
+                                     numbers(band + 1, F.col("after")))).otherwise(
+        numbers(F.lit(0).cast("long"), F.col("all_blocks")))
+    hashed = F.xxhash64("id")
+    own = F.when(banded, band * (1 << 32) + F.pmod(hashed, F.col("blocks"))).otherwise(
+        F.pmod(hashed, F.col("all_blocks")))
+    placed = members.join(staging.side(bands, n_ids), ["component", "band"]).select(
+        "id", F.col("component").alias("family"), own.alias("own"), F.explode(others).alias("other"))
     return placed.select("id", "family", "own", F.least("own", "other").alias("low"),
                          F.greatest("own", "other").alias("high"))
 
@@ -190,7 +219,7 @@ class _Unit:
                     self.root[self.root == self.root[y]] = self.root[x]
 
 
-def family_links(docs: DataFrame, units: DataFrame, n_ids: int, shingle_words: int,
+def family_links(docs: DataFrame, units: DataFrame, n_ids: int, n_rows: int, shingle_words: int,
                  percent: int) -> DataFrame:
     """(a, b): verified links that connect every family's components."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,9 +251,9 @@ def family_links(docs: DataFrame, units: DataFrame, n_ids: int, shingle_words: i
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     ids = units.select("id").distinct()
     # the ids of the families are sent to all tasks only while they are few
-    chosen = texts.join(F.broadcast(ids) if n_ids <= SENT_IDS else ids, "id", "left_semi")
+    chosen = texts.join(F.broadcast(ids) if n_ids <= SENT_IDS else ids.hint("merge"), "id", "left_semi")
     full = chosen.mapInArrow(sets, "id long, shingles binary")
-    return (full.join(units, "id").select("family", "low", "high", "id", "own", "shingles")
+    return (full.join(staging.side(units, n_rows), "id").select("family", "low", "high", "id", "own", "shingles")
             .repartition("family", "low", "high")
             .sortWithinPartitions("family", "low", "high", "id")
             .mapInArrow(compare, "a long, b long"))
@@ -242,14 +271,16 @@ def linked(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     # sizes and signatures are left to the pairs: two members of a key may be alike when neither is
     # like the key's smallest one
     families = staging.stage(components(candidate_links(classes)), "families")
-    units = staging.stage(family_units(families, classes), "units")
-    links = family_links(docs, units, families.count(), shingle_words, percent)
+    n_ids = families.count()
+    units = staging.stage(family_units(families, classes, n_ids, percent), "units")
+    links = family_links(docs, units, n_ids, units.count(), shingle_words, percent)
     labels = staging.stage(components(links), "labels")
     staging.drop(spark, units, families)
 
-    named = classes.join(labels, "id", "left").select(
+    named = classes.join(staging.side(labels, n_ids), "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component"))
-    of_class = own.join(named, "digest").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    of_class = own.join(staging.side(named, signs.count()), "digest").select(
+        "doc_id", "n_shingles", F.col("component").alias("component_id"))
     alone = signs.filter("n_shingles = 0 OR doc_id IS NULL").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return of_class.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -260,5 +291,5 @@ def first_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     """The rows of documents that are the first of their component, with all their columns."""
     of = staging.unused_name(docs, "gone_id")
     gone = staging.stage(linked(docs, shingle_words, percent).filter("NOT kept").select(F.col("doc_id").alias(of)), "gone")
-    ids = F.broadcast(gone) if gone.count() <= SENT_IDS else gone
+    ids = F.broadcast(gone) if gone.count() <= SENT_IDS else gone.hint("merge")
     return docs.join(ids, F.col("doc_id").cast("long") == F.col(of), "left_anti")

@@ -1,7 +1,9 @@
 import random
 from itertools import combinations
 
-from rescuelens.llm import near_dedup
+from pyspark.sql import functions as F
+
+from rescuelens.llm import near_dedup, staging
 from rescuelens.llm.components import components
 
 
@@ -142,3 +144,47 @@ def test_heads_and_links_come_from_one_scan(spark):
     classes = spark.createDataFrame([], "id long, n long, signature binary")
     plan = near_dedup.candidate_links(classes)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1
+
+
+def test_many_rows_in_small_files_are_not_sent(spark, docs, monkeypatch):
+    """Links, ids and units of a few bytes a row are far below Spark's limit for a broadcast."""
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(near_dedup, "SENT_IDS", 0)
+    monkeypatch.setattr(staging, "SENT_ROWS", 0, raising=False)
+    rows = near_copies(2, 2, 40, 90, 12)
+    plans, write = [], staging.stage
+
+    def stage(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(staging, "stage", stage)
+    out = near_dedup.linked(docs(rows), shingle_words=2)
+    stage(out, "linked")
+    stage(near_dedup.first_of_each(docs(rows), shingle_words=2), "first")
+    assert [name for name, plan in plans if "BroadcastHashJoin" in plan] == []
+    assert sum("SortMergeJoin" in plan for _, plan in plans) > 6
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == brute(rows, 2)
+
+
+def test_blocks_of_sizes_too_far_apart_are_no_unit(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 5)
+    sizes = {k: round(10 * 1.02 ** k) for k in range(300)}
+    families = spark.createDataFrame([(k, 0) for k in sizes], "id long, component long")
+    classes = spark.createDataFrame(list(sizes.items()), "id long, n long")
+    units = near_dedup.family_units(families, classes, 300, 80).groupBy("low", "high").agg(
+        F.collect_list(F.struct("id", "own")).alias("of")).collect()
+    met = [(min(x.id, y.id), max(x.id, y.id)) for u in units for x, y in combinations(u.of, 2)
+           if x.own != y.own or u.low == u.high]
+    assert len(met) == len(set(met))
+    assert set(met) >= {(x, y) for x, y in combinations(sizes, 2) if 100 * sizes[x] >= 80 * sizes[y]}
+    assert sum(len(u.of) for u in units) < 300 * 20
+    assert all(sum(x.own == b for x in u.of) <= 20 for u in units for b in (u.low, u.high))
+
+
+def test_families_of_several_bands(docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 7)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(base[:rng.randrange(20, 400)])) for k in range(90)]
+    assert run(docs, rows, 2) == brute(rows, 2)
